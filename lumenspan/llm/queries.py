@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from . import bpe, decontaminate, near_dedup, token_count, url_filter
+from . import bpe, decontaminate, langid, near_dedup, pii, token_count, toxicity, url_filter
 
 QUERIES = {
+    "op2_langid": langid.query,
     "op3_bpe": bpe.query,
     "op4_decontaminate": decontaminate.query,
+    "op5_pii": pii.query,
     "op6_url_filter": url_filter.query,
     "op7_token_count": token_count.query,
+    "op9_toxicity": toxicity.query,
     "op10_near_dedup": near_dedup.query,
 }
 ORACLES = {"op4_decontaminate": decontaminate.ORACLE, "op6_url_filter": url_filter.ORACLE, "op10_near_dedup": near_dedup.ORACLE}
