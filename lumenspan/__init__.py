@@ -1,0 +1 @@
+"""Spectral imagery analytics on Spark DataFrames."""
