@@ -202,12 +202,13 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
     """``encoded`` with decoded, the text of its token_ids; null ids decode to an empty text."""
     C.prepare(encoded.sparkSession)
     base = encoded.select(*[c for c in encoded.columns if c != "decoded"])
+    columns = [*base.columns, "decoded"]
 
     def run(batches):
         bpe = load(path)
         for batch in batches:
             made = [bpe.decode(ids or []) for ids in batch.column("token_ids").to_pylist()]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(made, pa.string())], [*base.columns, "decoded"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(made, pa.string())], columns)
 
     return base.mapInArrow(run, C.extended(base, "decoded string"))
 
