@@ -17,10 +17,13 @@ repeated rows are each encoded; further columns are carried along.
 
 from __future__ import annotations
 
+import gc
 import hashlib
 import heapq
 import json
+import re
 import unicodedata
+from itertools import islice
 
 import pyarrow as pa
 import regex
@@ -29,10 +32,12 @@ from pyspark.sql import functions as F
 
 from . import _common as C
 
-#: Pre-tokens a worker remembers; beyond it the table starts anew.
+#: Pre-tokens a worker remembers; beyond it long ones are forgotten.
 CACHE = 400_000
-#: Characters of a text that are split into pre-tokens at once.
-_SPACE = regex.compile(r"\s+")
+#: Length of the pre-tokens that are kept when the table is full.
+SHORT = 9
+# Classes of lower-cased Latin-1 texts.
+_BLANK, _LETTERS, _NUMBERS = r"\t-\r \x85\xa0", "a-zªµºß-öø-ÿ", "0-9²³¹¼-¾"
 
 
 def byte_symbols() -> list[str]:
@@ -66,8 +71,14 @@ class WordBpe:
         self.final = [self.vocab[s + self.suffix] for s in symbols]
         split = next(p["pattern"]["Regex"] for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split")
         self.pattern = regex.compile(split)
+        self.latin = re.compile(split.replace(r"[^\s\p{L}\p{N}]", f"[^{_BLANK}{_LETTERS}{_NUMBERS}]").replace(r"[\p{L}]", f"[{_LETTERS}]").replace(r"[\p{N}]", f"[{_NUMBERS}]"))
+        self.id_texts = list(map(str, range(max(self.names) + 1)))
         self.special_pattern = regex.compile("|".join(regex.escape(s) for s in sorted(self.special, key=len, reverse=True))) if self.special else None
         self.cache: dict[str, tuple[int, ...]] = {}
+        # For digests, by pre-token: number of ids, ids as text, decoded text.
+        self.numbers: dict[str | int, int] = {}
+        self.joined: dict[str | int, str] = {}
+        self.decoded: dict[str | int, str] = {}
 
     def parts(self, text: str) -> list[str | int]:
         """Pre-tokens of a text, special strings as ids."""
@@ -82,22 +93,23 @@ class WordBpe:
         return out + self._words(text[at:])
 
     def _words(self, text: str) -> list[str]:
-        if text.isascii():
-            text = text.lower()
-        else:
+        # White space only separates, so its runs need no replacing.
+        try:
+            text.encode("latin-1")
+        except UnicodeEncodeError:
             text = unicodedata.normalize("NFC", text)
-            text = text.replace("Σ", "σ").lower()  # the library lowers each character by itself
-        return self.pattern.findall(_SPACE.sub(" ", text))
+            return self.pattern.findall(text.replace("Σ", "σ").lower())  # the library lowers each character by itself
+        return self.latin.findall(text.lower())  # such texts are in NFC
 
-    def learn(self, words: set[str]) -> None:
-        """Encode ``words`` and remember them."""
+    def merged(self, words: set[str]) -> list[tuple[str, list[int]]]:
+        """The ids of every one of ``words``."""
         sym: list[int] = []
         edges = [0]
         listed = list(words)
         inner, final = self.inner, self.final
         for w in listed:
             data = w.encode("utf-8", "surrogatepass")
-            sym += [inner[b] for b in data[:-1]]
+            sym += map(inner.__getitem__, data[:-1])
             sym.append(final[data[-1]])
             edges.append(len(sym))
         n = len(sym)
@@ -144,24 +156,37 @@ class WordBpe:
                     elif made in merges:
                         index[made] = [left]
                         heapq.heappush(active, (merges[made][0], made))
-        if len(self.cache) + len(listed) > CACHE:
-            self.cache.clear()
-        for w, at, to in zip(listed, edges, edges[1:], strict=False):
-            self.cache[w] = tuple([s for s in sym[at:to] if s >= 0])
+        return [(w, [s for s in sym[at:to] if s >= 0]) for w, at, to in zip(listed, edges, edges[1:], strict=False)]
 
-    def encode_batch(self, batch: list[str]) -> list[list[int]]:
+    def _split(self, batch: list[str], known: dict) -> tuple[list[list[str | int]], set[str], set[str | int]]:
+        """Pre-tokens of every text; those that ``known`` lacks; and what must be forgotten to make room for them."""
         split = [self.parts(t) for t in batch]
-        unseen = {w for words in split for w in words if w.__class__ is str}
+        needed = {w for words in split for w in words}
+        unseen = {w for w in needed if w not in known and w.__class__ is str}
+        gone: set[str | int] = set()
+        if len(known) + len(unseen) > CACHE:  # short pre-tokens are the likeliest to come back
+            stay = set(islice((w for w in known if w.__class__ is str and len(w) <= SHORT), CACHE // 2)) | needed
+            gone = known.keys() - stay
+        return split, unseen, gone
+
+    def encode_batch(self, batch: list[str]) -> list[list[int]]:
         known = self.cache
-        unseen = {w for w in unseen if w not in known}
-        kept: dict[str, tuple[int, ...]] = {}
-        if len(known) + len(unseen) > CACHE:  # what this batch needs must outlive the clearing
-            kept = {w: known[w] for words in split for w in words if w in known}
-        if unseen:
-            self.learn(unseen)
-        known.update(kept)
+        split, unseen, gone = self._split(batch, known)
+        for w in gone:
+            del known[w]
+        known.update((w, tuple(ids)) for w, ids in self.merged(unseen))
         return [[i for w in words for i in (known[w] if w.__class__ is str else (w,))] for words in split]
 
+    def digest_batch(self, batch: list[str]) -> list[tuple[int, str, str]]:
+        """(number of ids, SHA-256 of the ids, SHA-256 of the decoded text) of every text, joined from its pre-tokens' parts."""
+        numbers, joined, decoded, id_texts, names = self.numbers, self.joined, self.decoded, self.id_texts, self.names
+        split, unseen, gone = self._split(batch, numbers)
+        for w in gone:
+            del numbers[w], joined[w], decoded[w]
+        for w, ids in [*self.merged(unseen), *((i, [i]) for i in self.special.values())]:
+            numbers[w], joined[w], decoded[w] = len(ids), " ".join(map(id_texts.__getitem__, ids)), " ".join(map(names.__getitem__, ids))
+        return [(sum(map(numbers.__getitem__, words)), _sha256(" ".join(map(joined.__getitem__, words))), _sha256(" ".join(map(decoded.__getitem__, words)))) for words in split]
+
     def decode(self, ids: list[int]) -> str:
         """As a tokenizer without a decoder does: token strings joined by a space."""
         return " ".join(map(self.names.__getitem__, ids))
@@ -178,6 +203,7 @@ def load(path: str) -> WordBpe:
 
 
 def _mapped(docs: DataFrame, path: str, make, names: list[tuple[str, str, pa.DataType]]) -> DataFrame:
+    """``docs`` with the columns ``names``, rows of which ``make(vocabulary, texts)`` gives."""
     C.prepare(docs.sparkSession)
     base = docs.select(*[c for c in docs.columns if c not in {n for n, _, _ in names}])
     schema = C.extended(base, ", ".join(f"{name} {kind}" for name, kind, _ in names))
@@ -185,17 +211,18 @@ def _mapped(docs: DataFrame, path: str, make, names: list[tuple[str, str, pa.Dat
 
     def run(batches):
         bpe = load(path)
+        gc.disable()  # encoding makes no cycles, and collections would walk its large tables
         for batch in batches:
-            made = zip(*[make(bpe, ids) for ids in bpe.encode_batch(C.texts(batch))], strict=True)
-            made = list(made) or [[] for _ in names]
+            made = list(zip(*make(bpe, C.texts(batch)), strict=True)) or [[] for _ in names]
             yield pa.RecordBatch.from_arrays([*batch.columns, *[pa.array(x, t) for x, (_, _, t) in zip(made, names, strict=True)]], columns)
+        gc.enable()
 
     return base.mapInArrow(run, schema)
 
 
 def encode(docs: DataFrame, path: str) -> DataFrame:
     """``docs`` with token_ids (array<int>) of its text."""
-    return _mapped(docs, path, lambda bpe, ids: (ids,), [("token_ids", "array<int>", pa.list_(pa.int32()))])
+    return _mapped(docs, path, lambda bpe, batch: [(ids,) for ids in bpe.encode_batch(batch)], [("token_ids", "array<int>", pa.list_(pa.int32()))])
 
 
 def decode(encoded: DataFrame, path: str) -> DataFrame:
@@ -213,14 +240,13 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
     return base.mapInArrow(run, C.extended(base, "decoded string"))
 
 
-def _digest(bpe: WordBpe, ids: list[int]) -> tuple[int, str, str]:
-    joined = " ".join(map(str, ids))
-    return len(ids), hashlib.sha256(joined.encode()).hexdigest(), hashlib.sha256(bpe.decode(ids).encode("utf-8", "surrogatepass")).hexdigest()
+def _sha256(text: str) -> str:
+    return hashlib.sha256(text.encode("utf-8", "surrogatepass")).hexdigest()
 
 
 def digests(docs: DataFrame, path: str) -> DataFrame:
     """``docs`` with n_tokens and SHA-256 of the ids and of the decoded text; the ids stay in the worker."""
-    return _mapped(docs, path, _digest, [("n_tokens", "bigint", pa.int64()), ("ids_sha256", "string", pa.string()), ("decoded_sha256", "string", pa.string())])
+    return _mapped(docs, path, WordBpe.digest_batch, [("n_tokens", "bigint", pa.int64()), ("ids_sha256", "string", pa.string()), ("decoded_sha256", "string", pa.string())])
 
 
 def vocabulary(name: str) -> str:

@@ -125,11 +125,13 @@ def test_bpe_and_counts_against_the_libraries():
 
     rng = random.Random(1)
     alphabets = ("ab'sté ▁<>|\n日本😀 1", "abc theinr", " a")
-    texts = [t or "" for t in TRICKY] + ["".join(rng.choice(a) for _ in range(rng.randint(0, 80))) for a in alphabets for _ in range(700)] + ["ΑΣ ΣΑΣ ς İı", "<|startoftext|>a<|endoftext|>"]
+    texts = [t or "" for t in TRICKY] + ["".join(rng.choice(a) for _ in range(rng.randint(0, 80))) for a in alphabets for _ in range(700)] + ["".join(map(chr, range(256))) + "".join(f"a{chr(i)}b{chr(i)}1" for i in range(256)), "ΑΣ ΣΑΣ ς İı", "<|startoftext|>a<|endoftext|>"]
     own, theirs = bpe.WordBpe(bpe.vocabulary("word_bpe_49k.json")), Tokenizer.from_file(bpe.vocabulary("word_bpe_49k.json"))
     want = [e.ids for e in theirs.encode_batch(texts, add_special_tokens=False)]
     assert own.encode_batch(texts) == want
     assert [own.decode(i) for i in want] == [theirs.decode(i, skip_special_tokens=False) for i in want]
+    sha = lambda x: hashlib.sha256(x.encode()).hexdigest()
+    assert own.digest_batch(texts) == [(len(i), sha(" ".join(map(str, i))), sha(theirs.decode(i, skip_special_tokens=False))) for i in want]
     path = bpe.vocabulary("piece_bpe_32k.model")
     sp = SentencePieceProcessor(model_file=path)
     assert token_count.PieceBpe(path).count_batch(texts) == [len(sp.encode(t)) for t in texts]
@@ -142,6 +144,7 @@ def test_bpe_cache_restarts(monkeypatch):
     fresh = bpe.WordBpe(bpe.vocabulary("word_bpe_49k.json"))
     for t in ("a b c d", "c d e f g", "a g"):
         assert b.encode_batch([t]) == fresh.encode_batch([t])
+        assert b.digest_batch([t]) == fresh.digest_batch([t])
     p = token_count.PieceBpe(bpe.vocabulary("piece_bpe_32k.model"))
     assert [p.count_batch([t])[0] for t in ("a b c d", "c d e f g")] == [4, 5]
 
