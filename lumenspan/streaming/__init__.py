@@ -1 +1 @@
-"""Part of lumenspan: streaming."""
+"""No streaming operators: the library's inputs are finite catalogues and rasters."""
