@@ -71,7 +71,7 @@ def test_ties_and_adjacency(spark):
     assert [r.id for r in catalog.best_per_date(items).collect()] == [1]
     s = spark.createDataFrame([("a", i, n) for i, n in enumerate((12, 13, 14))] + [("b", 0, 12), ("b", 1, 14), ("c", 0, 12)], "k string, pos int, scene int")
     assert {r.k: r.adjacent for r in catalog.adjacent(s, by="k").collect()} == {"a": True, "b": False, "c": True}
-    assert value(spark, catalog.scene_number(F.lit("x.emit_012.nc"))) == 12
+    assert value(spark, catalog.scene_number(F.lit("x.scene_012.nc"))) == 12
 
 
 def test_asof_against_brute_force(spark):
