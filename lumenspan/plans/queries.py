@@ -7,7 +7,9 @@ from pyspark.sql.window import Window
 
 from ..functions import columns as fc
 from ..operators import catalog, fit, geometry, radiometry, raster, spectral
+from ..sources import documents as docs_out
 from ..sources import fixtures as fx
+from ..sources import geotiff
 
 QUERIES: dict = {}
 SQL: dict = {}
@@ -530,6 +532,42 @@ def manifest(spark, d):
     return paired_tiles(spark, d).select("idx", name("a").alias("coarse_file"), name("b").alias("fine_file"))
 
 
+@query("tile_documents", f"WITH p AS ({SQL['paired_tiles']}) SELECT idx, format('tile_{{:03d}}.json', idx) AS name, format('tile_{{:03d}}_b.tif', idx) AS fine_file, tile_row, coarse_black FROM p")
+def tile_documents(spark, d):
+    doc = F.col("document")
+    return docs_out.tile_document(paired_tiles(spark, d)).select(
+        "idx", "name", F.get_json_object(doc, "$.files.fine").alias("fine_file"), F.get_json_object(doc, "$.window.row").cast("int").alias("tile_row"),
+        F.get_json_object(doc, "$.quality.coarse_black").cast("double").alias("coarse_black"),
+    )
+
+
+@query("xml_sidecar", None)
+def xml_sidecar(spark, d):
+    w, _ = _wavelengths()
+    a = fx.acquisitions_a(spark, d)
+    return docs_out.sidecar(a.select(
+        F.col("id").cast("string").alias("raster_id"), F.lit("reflectance").alias("product"), F.lit(4326).alias("epsg"), F.col("ts").alias("start"), F.col("ts").alias("stop"), F.lit(0.01).alias("dx"), F.lit(-0.01).alias("dy"),
+        (F.col("lon") - 1).alias("l"), (F.col("lat") - 1).alias("b"), (F.col("lon") + 1).alias("r"), (F.col("lat") + 1).alias("t"), F.lit(200).alias("height"), F.lit(200).alias("width"), F.lit(64).alias("bands"),
+        F.array(*[F.lit(float(x)) for x in w]).alias("wavelengths"),
+    ))
+
+
+@query("run_ids", "SELECT page_id, CASE WHEN contains(stem,'page') THEN stem[1:position('page' IN stem)-1] || stem[position('page' IN stem)+4:] ELSE stem END AS run FROM (SELECT page_id, regexp_replace(split_part(url,'/',-1), '^(.+)\\.[^.]*$', '\\1') AS stem FROM pages)")
+def run_ids(spark, d):
+    return fx.table(spark, d, "pages").select("page_id", docs_out.run_id(F.col("url"), "page").alias("run"))
+
+
+@query("scan_geotiff", SQL["quantize_u16"])
+def scan_geotiff(spark, d):
+    size = 5
+    q = fx.spectra(spark, d).select("row", "col", F.transform("spectrum", lambda v: fc.quantize_u16(v)).alias("spectrum"))
+    at = lambda c: F.floor(F.col(c) / size).cast("int")
+    tiles = q.select(F.concat_ws("_", at("row"), at("col")).alias("path"), (F.col("row") % size).alias("row"), (F.col("col") % size).alias("col"), "spectrum")
+    back = geotiff.decoded(geotiff.encoded(tiles, key="path", height=size, width=size))
+    place = lambda k, c: (F.element_at(F.split("path", "_"), k).cast("int") * size + F.col(c)).alias(c)
+    return back.select(place(1, "row"), place(2, "col"), F.posexplode("spectrum").alias("b", "q")).select("row", "col", "b", F.col("q").cast("int").alias("q"))
+
+
 @query("coreg", None)
 def coreg(spark, d):
     g = fx.grid_fine(spark, d).where("row < 96 and col < 96").withColumn("v", F.greatest("v", F.lit(0.0)))
