@@ -225,3 +225,48 @@ def coregister(reference: DataFrame, target: DataFrame, *, window: int = 32, max
     both = reference.select("row", "col", F.col("v").alias("a")).join(target.select("row", "col", F.col("v").alias("b")), ["row", "col"])
     tiled = both.withColumns({"tile_row": F.floor(F.col("row") / window).cast("int"), "tile_col": F.floor(F.col("col") / window).cast("int")})
     return tiled.groupBy("tile_row", "tile_col").applyInPandas(shift, "tile_row int, tile_col int, d_row int, d_col int, reliability double")
+
+
+def fit_shifts(shifts: DataFrame, *, window: int = 32, min_reliability: float = 60.0, max_deviation: float = 3.0) -> list[list[float]] | None:
+    """Coefficients (constant, per row, per column) of d_row and d_col, by least squares over the tie points.
+
+    Left out are unreliable points and those further than ``max_deviation``
+    from the median shift.  Fewer than three points, or points on one line,
+    give the mean shift; none give None.  Only moments reach the driver.
+    """
+    import numpy as np
+
+    good = shifts.where(F.col("reliability") >= min_reliability)
+    middle = good.agg(F.median("d_row").alias("_r"), F.median("d_col").alias("_c"))
+    kept = good.crossJoin(F.broadcast(middle)).where((F.abs(F.col("d_row") - F.col("_r")) <= max_deviation) & (F.abs(F.col("d_col") - F.col("_c")) <= max_deviation))
+    center = lambda c: (F.col(c) + 0.5) * window - 0.5
+    x = [F.lit(1.0), center("tile_row"), center("tile_col")]
+    y = [F.col("d_row"), F.col("d_col")]
+    m = kept.agg(F.count("*"), *[F.sum(a * b) for a in x for b in x], *[F.sum(a * b) for a in x for b in y]).first()
+    if not m[0]:
+        return None
+    xx, xy = np.array(m[1:10], float).reshape(3, 3), np.array(m[10:], float).reshape(3, 2)
+    if m[0] < 3 or np.linalg.cond(xx) > 1e12:
+        return [[float(v) / m[0], 0.0, 0.0] for v in xy[0]]
+    return np.linalg.solve(xx, xy).T.tolist()
+
+
+def deshift(target: DataFrame, coefficients: list[list[float]], nodata: float = NODATA) -> DataFrame:
+    """(row, col, v): ``target`` moved by the fitted shifts, bilinear on its own grid.
+
+    A target pixel at p belongs at p + d(p); each cell of the grid therefore
+    asks for the four neighbours of the inverse position, weighted over those
+    with data.  Cells without any are left out.
+    """
+    import numpy as np
+
+    shift = np.array(coefficients, float)
+    back = np.linalg.inv(np.eye(2) + shift[:, 1:])
+    start = -back @ shift[:, 0]
+    at = [F.lit(float(start[k])) + F.col("row") * F.lit(float(back[k, 0])) + F.col("col") * F.lit(float(back[k, 1])) for k in range(2)]
+    placed = target.select(F.col("row").alias("_row"), F.col("col").alias("_col"), at[0].alias("_y"), at[1].alias("_x"))
+    near = F.array(*[F.struct((F.floor("_y") + a).cast("int").alias("row"), (F.floor("_x") + b).cast("int").alias("col")) for a in (0, 1) for b in (0, 1)])
+    asked = placed.select("_row", "_col", "_y", "_x", F.explode(near).alias("n")).select("_row", "_col", "n.row", "n.col", ((1 - F.abs(F.col("_y") - F.col("n.row"))) * (1 - F.abs(F.col("_x") - F.col("n.col")))).alias("w"))
+    valid = target.where(finite(F.col("v")) & (F.col("v") != nodata)).select("row", "col", "v")
+    sums = asked.where("w > 0").join(valid, ["row", "col"]).groupBy("_row", "_col").agg(F.sum(F.col("w") * F.col("v")).alias("s"), F.sum("w").alias("w"))
+    return sums.where("w > 1e-6").select(F.col("_row").alias("row"), F.col("_col").alias("col"), (F.col("s") / F.col("w")).alias("v"))

@@ -574,6 +574,13 @@ def coreg(spark, d):
     return raster.coregister(g, g.withColumn("row", F.col("row") + 2)).withColumn("reliability", r6(F.col("reliability"), 2))
 
 
+@query("coreg_deshift", f"WITH {FINE} SELECT row, col, round(greatest(v,0),6) AS v FROM fine WHERE row BETWEEN 2 AND 95 AND col < 96")
+def coreg_deshift(spark, d):
+    g = fx.grid_fine(spark, d).where("row < 96 and col < 96").withColumn("v", F.greatest("v", F.lit(0.0)))
+    moved = g.withColumn("row", F.col("row") + 2)
+    return raster.deshift(moved, raster.fit_shifts(raster.coregister(g, moved))).select("row", "col", r6("v"))
+
+
 # --- radiometry and fits ------------------------------------------------------
 
 def _radio(spark, d):

@@ -138,3 +138,18 @@ def test_envi_round_trip(spark, tmp_path):
     assert sorted(map(tuple, ((r.row, r.col, tuple(r.spectrum)) for r in got.collect()))) == sorted((r.row, r.col, tuple(r.spectrum)) for r in px.collect())
     with pytest.raises(FileNotFoundError):
         envi.header_of(str(tmp_path / "none.img"))
+
+
+def test_fitted_shifts_and_deshift(spark):
+    rows = [(r, c, 2 if (r, c) != (1, 1) else -4, -1, 90.0 if (r, c) != (0, 1) else 10.0) for r in range(3) for c in range(3)]
+    ties = spark.createDataFrame(rows, "tile_row int, tile_col int, d_row int, d_col int, reliability double")
+    assert np.allclose(raster.fit_shifts(ties), [[2, 0, 0], [-1, 0, 0]])
+    assert raster.fit_shifts(ties.limit(0)) is None
+    assert np.allclose(raster.fit_shifts(ties.where("tile_row = 0")), [[2, 0, 0], [-1, 0, 0]])
+    plane = spark.range(64).select(F.floor(F.col("id") / 8).cast("int").alias("row"), (F.col("id") % 8).cast("int").alias("col")).withColumn("v", F.col("row") * 10.0 + F.col("col"))
+    # A stretch along columns: the pixel at p belongs at 1.25 p + 0.5, so the cell at q reads (q - 0.5) / 1.25.
+    got = {(r.row, r.col): r.v for r in raster.deshift(plane, [[0, 0, 0], [0.5, 0, 0.25]]).collect()}
+    assert got[3, 3] == pytest.approx(30 + 2.0) and got[0, 6] == pytest.approx(4.4) and len(got) == 64
+    holes = plane.withColumn("v", F.when(F.col("col") == 4, -9999.0).otherwise(F.col("v")))
+    kept = {(r.row, r.col): r.v for r in raster.deshift(holes, [[0, 0, 0], [0, 0, 0]]).collect()}
+    assert len(kept) == 56 and kept[1, 1] == 11
