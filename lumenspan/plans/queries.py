@@ -171,7 +171,7 @@ def href_suffix(spark, d):
 
 
 def _assets(spark, d):
-    b = fx.acquisitions_b(spark, d).where("id % 7 = 0")
+    b = fx.acquisitions_b(spark, d)
     lit = F.create_map(F.lit("B04"), F.lit("r"), F.lit("b08-JP2"), F.lit("n"), F.lit("SCL"), F.lit("s"), F.lit("thumb"), F.lit("t"))
     return b.select("id", F.when(F.col("id") % 2 == 0, lit).otherwise(F.create_map(F.lit("scl-jp2"), F.lit("s2"), F.lit("nir"), F.lit("n2"))).alias("assets"))
 
@@ -191,14 +191,14 @@ def assets_minimal(spark, d):
 def related_urls(spark, d):
     u = lambda t, p: F.struct(F.lit(t).alias("type"), F.concat(F.lit(p), F.col("id")).alias("url"))
     urls = F.array(u("GET DATA", "https://x/"), u("OTHER", "https://z/"), u("VIEW", "https://y/"))
-    return fx.acquisitions_b(spark, d).where("id % 7 = 0").select("id", F.explode(catalog.related_urls(urls, ["GET DATA", "VIEW"])).alias("u")).select("id", "u.type", "u.url")
+    return fx.acquisitions_b(spark, d).select("id", F.explode(catalog.related_urls(urls, ["GET DATA", "VIEW"])).alias("u")).select("id", "u.type", "u.url")
 
 
 @query("file_records", f"WITH {ACQ_B} SELECT id, 'f' || id AS name, id*10 AS size_bytes FROM b WHERE id%7=0")
 def file_records(spark, d):
     rec = F.array(F.struct(F.concat(F.lit("f"), F.col("id")).alias("Name"), (F.col("id") * 10).alias("SizeInBytes"), F.lit("nc").alias("Format")))
     out = F.transform(rec, lambda x: F.struct(x["Name"].alias("name"), x["SizeInBytes"].alias("size_bytes")))
-    return fx.acquisitions_b(spark, d).where("id % 7 = 0").select("id", F.explode(out).alias("x")).select("id", "x.name", "x.size_bytes")
+    return fx.acquisitions_b(spark, d).select("id", F.explode(out).alias("x")).select("id", "x.name", "x.size_bytes")
 
 
 @query("best_per_date", f"WITH {ACQ_A}, {BEST} SELECT id, ts::DATE AS date, cloud FROM best")
@@ -470,7 +470,7 @@ def quality_mask(spark, d):
 @query("band_mask_unpack", "SELECT v.vec_id, k::INT AS k, ((((vec_id*37+k//8*101)%256)::INT >> (7-k%8)::INT) & 1)::INT AS bit FROM embeddings v, range(285) t(k) WHERE vec_id<50")
 def band_mask_unpack(spark, d):
     packed = F.transform(F.sequence(F.lit(0), F.lit(35)), lambda i: ((F.col("vec_id") * 37 + i * 101) % 256).cast("int"))
-    return fx.table(spark, d, "embeddings").where("vec_id < 50").select("vec_id", F.posexplode(raster.unpack_bits(packed)).alias("k", "bit"))
+    return fx.table(spark, d, "embeddings").select("vec_id", F.posexplode(raster.unpack_bits(packed)).alias("k", "bit"))
 
 
 @query("black_mask", f"WITH {FINE} SELECT row, col, (abs(v+9999)<=0.10099 OR abs(v)<1e-6 OR abs(v+0.01)<=1e-3+1e-7) AS black FROM fine")
@@ -689,7 +689,7 @@ def r2_rmse(spark, d):
 
 @query("obs_assemble", "SELECT l_orderkey, l_linenumber, k::INT AS k, [l_quantity,l_extendedprice,l_discount+0.0,l_tax+0.0][k+1] AS v FROM lineitem, range(4) t(k) WHERE l_orderkey<200")
 def obs_assemble(spark, d):
-    li = fx.table(spark, d, "lineitem").where("l_orderkey < 200")
+    li = fx.table(spark, d, "lineitem")
     found = [next(c for c in li.columns if c in names) for names in (("path_length", "l_quantity"), ("l_extendedprice",), ("zenith", "l_discount"), ("l_tax", "slope"))]
     return li.select("l_orderkey", "l_linenumber", F.posexplode(F.array(*[F.col(c) + 0.0 for c in found])).alias("k", "v"))
 
