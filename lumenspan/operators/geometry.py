@@ -181,9 +181,9 @@ _RADIUS = A / (1 + _N) * (1 + _N**2 / 4 + _N**4 / 64)
 SCALE, EASTING = 0.9996, 500_000.0
 
 
-def to_utm(lon, lat, zone: int, south: bool = False):
-    """NumPy transverse Mercator coordinates of a UTM zone."""
-    lam, phi = np.radians(lon) - math.radians(zone * 6 - 183), np.radians(lat)
+def to_utm(lon, lat, zone, south=False):
+    """NumPy transverse Mercator coordinates of a UTM zone, one for all points or one for each."""
+    lam, phi = np.radians(lon) - np.radians(zone * 6 - 183), np.radians(lat)
     k = 2 * math.sqrt(_N) / (1 + _N)
     t = np.sinh(np.arctanh(np.sin(phi)) - k * np.arctanh(k * np.sin(phi)))
     xi, eta = np.arctan2(t, np.cos(lam)), np.arctanh(np.sin(lam) / np.sqrt(1 + t * t))
@@ -191,7 +191,7 @@ def to_utm(lon, lat, zone: int, south: bool = False):
     for j, a in enumerate(_ALPHA, 1):
         x = x + a * np.cos(2 * j * xi) * np.sinh(2 * j * eta)
         y = y + a * np.sin(2 * j * xi) * np.cosh(2 * j * eta)
-    return EASTING + SCALE * _RADIUS * x, SCALE * _RADIUS * y + (10_000_000.0 if south else 0.0)
+    return EASTING + SCALE * _RADIUS * x, SCALE * _RADIUS * y + np.where(south, 10_000_000.0, 0.0)
 
 
 def from_utm(x, y, zone: int, south: bool = False):
@@ -207,17 +207,27 @@ def from_utm(x, y, zone: int, south: bool = False):
     return zone * 6 - 183 + np.degrees(np.arctan2(np.sinh(v), np.cos(u))), np.degrees(phi)
 
 
-def bounds_in_utm(df: DataFrame, zone: int, south: bool = False) -> DataFrame:
-    """``df`` (l, b, r, t in degrees) with x0, y0, x1, y1: bounds of the projected corners."""
-    from pyspark.sql.types import DoubleType, StructType
+def utm_zone(lon, lat):
+    """NumPy (zone, south) of points; longitudes wrap."""
+    return np.floor((np.asarray(lon, float) + 180) / 6).astype(int) % 60 + 1, np.asarray(lat, float) < 0
+
+
+def bounds_in_utm(df: DataFrame, zone: int | None = None, south: bool = False) -> DataFrame:
+    """``df`` (l, b, r, t in degrees) with epsg, x0, y0, x1, y1: bounds of the projected corners.
+
+    Without a ``zone`` every box has that of its centre.
+    """
+    from pyspark.sql.types import DoubleType, IntegerType, StructType
 
     def run(batches):
         for f in batches:
-            at = [to_utm(f[x].to_numpy(float), f[y].to_numpy(float), zone, south) for x in "lr" for y in "bt"]
+            l, b, r, t = (f[c].to_numpy(float) for c in "lbrt")
+            z, s = utm_zone((l + r) / 2, (b + t) / 2) if zone is None else (np.full(len(f), zone), np.full(len(f), south))
+            at = [to_utm(x, y, z, s) for x in (l, r) for y in (b, t)]
             xs, ys = np.array([p[0] for p in at]), np.array([p[1] for p in at])
-            yield f.assign(x0=xs.min(0), y0=ys.min(0), x1=xs.max(0), y1=ys.max(0))
+            yield f.assign(epsg=(32600 + z + 100 * s).astype("int32"), x0=xs.min(0), y0=ys.min(0), x1=xs.max(0), y1=ys.max(0))
 
-    schema = StructType([*df.schema.fields])
+    schema = StructType([*df.schema.fields]).add("epsg", IntegerType())
     for name in ("x0", "y0", "x1", "y1"):
         schema = schema.add(name, DoubleType())
     return df.mapInPandas(run, schema)

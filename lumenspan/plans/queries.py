@@ -356,7 +356,7 @@ def point_buffer(spark, d):
 
 @query("utm_bounds", None)
 def utm_bounds(spark, d):
-    return geometry.bounds_in_utm(_boxes(fx.acquisitions_a(spark, d)).where("abs(l) < 6"), 31).select("id", *[r6(c, 3) for c in ("x0", "y0", "x1", "y1")])
+    return geometry.bounds_in_utm(_boxes(fx.acquisitions_a(spark, d))).select("id", "epsg", *[r6(c, 3) for c in ("x0", "y0", "x1", "y1")])
 
 
 @query("snap_inward", f"WITH {ACQ_A} SELECT id, ceil((lon*1000)/60-1e-9)*60 AS lo, floor((lon*1000+130)/60+1e-9)*60 AS hi FROM a")
@@ -436,7 +436,7 @@ def downsample_avg(spark, d):
 
 @query("upsample_bilinear", f"WITH {COARSE}, dst AS (SELECT r::INT AS row, c::INT AS col, (r+0.5::DOUBLE)/2-0.5 AS y, (c+0.5::DOUBLE)/2-0.5 AS x FROM range(600) t(r), range(100) u(c)), n AS (SELECT row, col, floor(y)::INT+i AS sr, floor(x)::INT+j AS sc, (1-abs(y-floor(y)-i))*(1-abs(x-floor(x)-j)) AS w FROM dst, range(2) a(i), range(2) b(j)) SELECT n.row, n.col, round(sum(w*v)/sum(w),12) AS v FROM n JOIN coarse k ON k.row=sr AND k.col=sc WHERE v<>-9999 AND w>0 AND sr<300 GROUP BY ALL")
 def upsample_bilinear(spark, d):
-    return raster.upsample_bilinear(fx.grid_coarse(spark, d).where("row < 300"), 2).withColumn("v", r6(F.col("v"), 12))
+    return raster.upsample_bilinear(fx.grid_coarse(spark, d), 2).withColumn("v", r6(F.col("v"), 12))
 
 
 @query("resample_nearest", f"WITH {COARSE} SELECT (row*2+i)::INT AS row, (col*2+j)::INT AS col, round(v,6) AS v FROM coarse, range(2) a(i), range(2) b(j)")
@@ -523,7 +523,9 @@ def paired_tiles(spark, d):
 
 @query("sliding_tiles", f"WITH {FINE}, t AS (SELECT r::INT AS tile_row, c::INT AS tile_col FROM range(11) a(r), range(11) b(c)) SELECT tile_row*11+tile_col AS tile_id, tile_row, tile_col, round(avg({_BLACK}),6) AS black FROM t JOIN fine ON row BETWEEN tile_row*9 AND tile_row*9+9 AND col BETWEEN tile_col*9 AND tile_col*9+9 GROUP BY ALL")
 def sliding_tiles(spark, d):
-    return raster.sliding_tiles(fx.grid_fine(spark, d), height=100, width=100, size=10, overlap=0.1).withColumn("black", r6(F.col("black")))
+    g = fx.grid_fine(spark, d)
+    m = g.agg(F.coalesce(F.max("row") + 1, F.lit(0)).alias("height"), F.coalesce(F.max("col") + 1, F.lit(0)).alias("width")).first()
+    return raster.sliding_tiles(g, height=m.height, width=m.width, size=10, overlap=0.1).withColumn("black", r6(F.col("black")))
 
 
 @query("manifest", SQL["paired_tiles"].replace("SELECT (row_number() OVER (ORDER BY tr,tc)-1)::INT AS idx, tr::INT AS tile_row, tc::INT AS tile_col, round(cb,6) AS coarse_black, round(fb,6) AS fine_black FROM k", "SELECT (row_number() OVER (ORDER BY tr,tc)-1)::INT AS idx, format('tile_{:03d}_a.tif', row_number() OVER (ORDER BY tr,tc)-1) AS coarse_file, format('tile_{:03d}_b.tif', row_number() OVER (ORDER BY tr,tc)-1) AS fine_file FROM k"))
@@ -570,13 +572,13 @@ def scan_geotiff(spark, d):
 
 @query("coreg", None)
 def coreg(spark, d):
-    g = fx.grid_fine(spark, d).where("row < 96 and col < 96").withColumn("v", F.greatest("v", F.lit(0.0)))
+    g = fx.grid_fine(spark, d).withColumn("v", F.greatest("v", F.lit(0.0)))
     return raster.coregister(g, g.withColumn("row", F.col("row") + 2)).withColumn("reliability", r6(F.col("reliability"), 2))
 
 
 @query("coreg_deshift", f"WITH {FINE} SELECT row, col, round(greatest(v,0),6) AS v FROM fine WHERE row BETWEEN 2 AND 95 AND col < 96")
 def coreg_deshift(spark, d):
-    g = fx.grid_fine(spark, d).where("row < 96 and col < 96").withColumn("v", F.greatest("v", F.lit(0.0)))
+    g = fx.grid_fine(spark, d).withColumn("v", F.greatest("v", F.lit(0.0)))
     moved = g.withColumn("row", F.col("row") + 2)
     return raster.deshift(moved, raster.fit_shifts(raster.coregister(g, moved))).select("row", "col", r6("v"))
 
@@ -662,13 +664,13 @@ def logit_sigmoid(spark, d):
 
 @query("ot_affine_fit", None)
 def ot_affine_fit(spark, d):
-    a, t = fit.fit_ot_affine(_rgb(spark, d), _rgb(spark, d, 20, 15, 10), n=500)
+    a, t = fit.fit_ot_affine(_rgb(spark, d), _rgb(spark, d, 20, 15, 10))
     return spark.createDataFrame([(j, *[round(float(v), 6) for v in a[:, j]], round(float(t[j]), 6)) for j in range(3)], "channel int, a0 double, a1 double, a2 double, t double")
 
 
 @query("ot_poly_fit", None)
 def ot_poly_fit(spark, d):
-    c = fit.fit_ot_polynomial(_rgb(spark, d), _rgb(spark, d, 20, 15, 10), degree=3, n=500)
+    c = fit.fit_ot_polynomial(_rgb(spark, d), _rgb(spark, d, 20, 15, 10), degree=3)
     return spark.createDataFrame([(j, k, round(float(v), 6)) for j, row in enumerate(c) for k, v in enumerate(row)], "channel int, power int, c double")
 
 

@@ -6,6 +6,7 @@ import duckdb
 import pytest
 
 from compare import compare
+from lumenspan.operators import fit, geometry
 from lumenspan.plans import queries
 
 SF = "/root/testdata/sf0.01"
@@ -27,18 +28,55 @@ WHOLE = {
     "file_records": without("file_records", SEVENTH),
     "band_mask_unpack": without("band_mask_unpack", (" WHERE vec_id<50", "")),
     "obs_assemble": without("obs_assemble", (" WHERE l_orderkey<200", "")),
+    "coreg_deshift": without("coreg_deshift", ("WHERE row BETWEEN 2 AND 95 AND col < 96", "WHERE row >= 2")),
+    "upsample_bilinear": without("upsample_bilinear", ("range(600)", "range(6000)"), ("sr<300", "sr<3000")),
+    "sliding_tiles": without("sliding_tiles", ("range(11) a(r)", "range(111) a(r)")),
 }
+#: Grids that exceed the part which the SQL takes: 3000 by 50 and 1000 by 100 cells.
+LARGER = {"upsample_bilinear", "sliding_tiles"}
 
 
 @pytest.fixture(scope="module")
 def tables():
-    con = duckdb.connect()
-    for p in Path(SF).glob("*.parquet"):
-        con.execute(f"CREATE VIEW {p.stem} AS SELECT * FROM read_parquet('{p}')")
-    return con
+    out = {}
+    for sf in (SF, SF.replace("0.01", "0.1")):
+        con = out[sf] = duckdb.connect()
+        for p in Path(sf).glob("*.parquet"):
+            con.execute(f"CREATE VIEW {p.stem} AS SELECT * FROM read_parquet('{p}')")
+    return out
 
 
 @pytest.mark.parametrize("name", sorted(WHOLE))
 def test_whole_tables(spark, tables, name):
-    said = compare(spark, tables, name, queries.QUERIES[name], WHOLE[name], SF)
+    sf = SF.replace("0.01", "0.1") if name in LARGER else SF
+    said = compare(spark, tables[sf], name, queries.QUERIES[name], WHOLE[name], sf)
     assert "FAIL" not in said, said
+
+
+def test_coreg_covers_the_grid(spark, tables):
+    tiles = {(r.tile_row, r.tile_col) for r in queries.QUERIES["coreg"](spark, SF).collect()}
+    assert tiles == {(r // 32, c // 32) for r in range(2, 100) for c in range(100)}
+
+
+def test_every_box_in_its_own_zone(spark, tables):
+    boxes = {i: (lon, lat) for i, lon, lat in tables[SF].execute("SELECT event_id, user_id*2.4::DOUBLE-180, (user_id%60-30)::DOUBLE FROM events WHERE event_type='view'").fetchall()}
+    rows = queries.QUERIES["utm_bounds"](spark, SF).collect()
+    assert sorted(r.id for r in rows) == sorted(boxes)
+    for r in rows:
+        lon, lat = boxes[r.id]
+        zone, south = int((lon + 0.25 + 180) // 6) % 60 + 1, lat - 0.25 < 0
+        assert r.epsg == (32700 if south else 32600) + zone
+        at = [geometry.to_utm(lon + x, lat + y, zone, south) for x in (-1, 1.5) for y in (-1, 0.5)]
+        want = (min(p[0] for p in at), min(p[1] for p in at), max(p[0] for p in at), max(p[1] for p in at))
+        assert max(abs(a - b) for a, b in zip((r.x0, r.y0, r.x1, r.y1), want, strict=True)) < 0.002
+        assert 0 < r.x0 < r.x1 < 1_000_000
+
+
+def test_colour_fits_take_the_whole_sample(spark):
+    sf = SF.replace("0.01", "0.1")
+    rgb = queries._rgb(spark, sf), queries._rgb(spark, sf, 20, 15, 10)
+    a, t = fit.fit_ot_affine(*rgb, n=10**6)
+    got = {r.channel: r for r in queries.QUERIES["ot_affine_fit"](spark, sf).collect()}
+    assert all(abs(got[j][f"a{i}"] - a[i, j]) < 1e-5 for i in range(3) for j in range(3)) and all(abs(got[j]["t"] - t[j]) < 1e-5 for j in range(3))
+    c = fit.fit_ot_polynomial(*rgb, degree=3, n=10**6)
+    assert all(abs(r.c - c[r.channel, r.power]) < 1e-5 for r in queries.QUERIES["ot_poly_fit"](spark, sf).collect())
