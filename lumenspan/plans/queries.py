@@ -27,6 +27,9 @@ SCL = "scl AS (SELECT vec_id//10 AS item, label::INT AS code FROM embeddings)"
 RADIO = "radio AS (SELECT event_type AS channel, value AS v FROM events)"
 BEST = "best AS (SELECT id, ts, lon, lat, cloud, user_id FROM (SELECT *, row_number() OVER (PARTITION BY ts::DATE ORDER BY cloud, id) AS k FROM a) WHERE k=1 AND cloud<=50)"
 
+#: Parts of each user's granules that box pairs join separately.
+PAIR_SALTS = 8
+
 
 def r6(c, digits: int = 6):
     return (F.round(c, digits) + 0.0) if not isinstance(c, str) else (F.round(F.col(c), digits) + 0.0).alias(c)
@@ -319,9 +322,11 @@ def ring_area(spark, d):
 
 def _box_pairs(spark, d):
     a, b = _boxes(fx.acquisitions_a(spark, d)), _boxes(fx.acquisitions_b(spark, d))
-    b = b.groupBy("user_id").agg(F.min(F.struct("id", "l", "b", "r", "t")).alias("o"))
-    near = b.withColumn("user_id", F.explode(F.array(F.col("user_id"), F.col("user_id") + 1)))
-    return a.join(near, "user_id")
+    o = b.select("user_id", F.struct("id", "l", "b", "r", "t").alias("o"))
+    near = o.withColumn("user_id", F.explode(F.array(F.col("user_id"), F.col("user_id") + 1)))
+    # A user of many granules is dealt over the salts.
+    dealt = near.withColumn("salt", F.explode(F.array(*map(F.lit, range(PAIR_SALTS)))))
+    return a.withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(PAIR_SALTS)).cast("int")).join(dealt, ["user_id", "salt"]).drop("salt")
 
 
 _PAIRS = f"{ACQ_A}, {ACQ_B}, o AS (SELECT user_id, min(id) AS oid FROM b GROUP BY 1), bx AS (SELECT o.user_id, b.id AS oid, lon-1 AS l2, lat-1 AS b2, lon+1.5 AS r2, lat+0.5 AS t2 FROM o JOIN b ON b.id=oid), ax AS (SELECT id, user_id, lon-1 AS l1, lat-1 AS b1, lon+1.5 AS r1, lat+0.5 AS t1 FROM a), p AS (SELECT id, oid, greatest(l1,l2) AS l, greatest(b1,b2) AS b, least(r1,r2) AS r, least(t1,t2) AS t, (r1-l1)*(t1-b1) AS area FROM ax JOIN bx ON ax.user_id IN (bx.user_id, bx.user_id+1))"

@@ -21,6 +21,7 @@ def without(name: str, *parts: tuple[str, str]) -> str:
 
 
 SEVENTH = (" WHERE id%7=0", "")
+ONE_A_USER = ("o AS (SELECT user_id, min(id) AS oid FROM b GROUP BY 1)", "o AS (SELECT user_id, id AS oid FROM b)")
 WHOLE = {
     "best_asset_key": without("best_asset_key", SEVENTH),
     "assets_minimal": without("assets_minimal", SEVENTH),
@@ -31,6 +32,8 @@ WHOLE = {
     "coreg_deshift": without("coreg_deshift", ("WHERE row BETWEEN 2 AND 95 AND col < 96", "WHERE row >= 2")),
     "upsample_bilinear": without("upsample_bilinear", ("range(600)", "range(6000)"), ("sr<300", "sr<3000")),
     "sliding_tiles": without("sliding_tiles", ("range(11) a(r)", "range(111) a(r)")),
+    "overlap_frac": without("overlap_frac", ONE_A_USER),
+    "bounds_intersect": without("bounds_intersect", ONE_A_USER),
 }
 #: Grids that exceed the part which the SQL takes: 3000 by 50 and 1000 by 100 cells.
 LARGER = {"upsample_bilinear", "sliding_tiles"}
@@ -80,3 +83,15 @@ def test_colour_fits_take_the_whole_sample(spark):
     assert all(abs(got[j][f"a{i}"] - a[i, j]) < 1e-5 for i in range(3) for j in range(3)) and all(abs(got[j]["t"] - t[j]) < 1e-5 for j in range(3))
     c = fit.fit_ot_polynomial(*rgb, degree=3, n=10**6)
     assert all(abs(r.c - c[r.channel, r.power]) < 1e-5 for r in queries.QUERIES["ot_poly_fit"](spark, sf).collect())
+
+
+def test_polygon_overlap_with_every_item(spark, tables):
+    e = tables[SF].execute("SELECT event_id, user_id, event_type FROM events").fetchall()
+    a, b = ([(i, u) for i, u, t in e if t == kind] for kind in ("view", "click"))
+    of = {}
+    for i, u in b:
+        for k in (u, u + 1):
+            of.setdefault(k, []).append((i, u))
+    got = {(r.id, r.oid): r.overlap for r in queries.QUERIES["polygon_overlap"](spark, SF).collect()}
+    assert set(got) == {(i, j) for i, u in a for j, _ in of.get(u, ())}
+    assert all(abs(got[i, j] - 1) < 1e-6 for i, u in a for j, v in of.get(u, ()) if v == u)
