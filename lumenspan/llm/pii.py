@@ -2,25 +2,27 @@
 
 Base spans are e-mail and IP addresses, card and phone numbers.  Beyond them,
 corpus statistics tell which terms give a protected entity away: for an entity
-e (a found value) and a term t, with contexts being the ``CONTEXT`` words on
-either side,
+e (a found value) and a term t (a word outside the base spans, of any length),
 
     pmi(t, e) = log2(p(t | e) / p(t)),  disclosure(t, e) = pmi(t, e) / -log2 p(e)
 
-where p(t | e) is the share of e's distinct contexts that hold t, p(t) the
-share of all documents that hold t, and p(e) the share of documents with e.  A
-term that is next to e in at least ``MIN_CONTEXTS`` distinct contexts and whose
-disclosure reaches ``DISCLOSURE`` becomes a span of kind ``term`` in e's
-contexts.  ``redact`` removes base spans in favour of their kind and
-generalises terms to ``[TERM]``.
+where p(t | e) is the share of e's distinct documents that hold t anywhere,
+p(t) the share of all documents that hold t, and p(e) the share of documents
+with e.  A term that stands with e in at least ``MIN_CONTEXTS`` distinct
+documents and whose disclosure reaches ``DISCLOSURE`` becomes a span of kind
+``term`` wherever it occurs in a document with e.  ``redact`` removes base
+spans in favour of their kind and generalises terms to ``[TERM]``.
 
-Counts cover all documents.  Contexts are few and small, so their joins move
-little; terms and pairs are broadcast in blocks of ``BLOCK_PAIRS``.
+Counts cover all documents.  A document with findings is stored as one row of
+entities and words; only those of protected entities are paired.  Terms and
+pairs are broadcast in blocks of ``BLOCK_PAIRS``.
 
 Defined cases: a null text is an empty one and has no spans (and stays null
-when redacted); repeated contexts (copies) count once, repeated rows are each
-judged; overlapping spans of different kinds are all reported, and redacted
-once, as the kind that starts first; further columns are carried along.
+when redacted); documents with the same words outside their base spans
+(copies) count once, repeated rows are each judged; a run of letters is one
+word, also in scripts without spaces; overlapping spans of different kinds are
+all reported, and redacted once, as the kind that starts first; further columns
+are carried along.
 """
 
 from __future__ import annotations
@@ -35,11 +37,8 @@ from pyspark.sql import functions as F
 
 from . import _common as C
 
-CONTEXT = 6
 MIN_CONTEXTS = 3
 DISCLOSURE = 0.75
-#: Letters that a term has at least.
-MIN_TERM = 4
 #: Terms, or (entity, term) pairs, that one pass broadcasts.
 BLOCK_PAIRS = 500_000
 KINDS = ("email", "ip", "card", "phone")
@@ -108,35 +107,29 @@ def _entity(kind: str, found: str) -> int:
     return int.from_bytes(hashlib.blake2b(_value(kind, found).encode(), digest_size=8).digest(), "big", signed=True)
 
 
-def _near(text: str, start: int, end: int) -> list[tuple[str, int, int]]:
-    """The terms among the ``CONTEXT`` words before ``start`` and after ``end``."""
-    reach = CONTEXT * 40
-    low = max(0, start - reach)
-    before = [(m[0].lower(), low + m.start(), low + m.end()) for m in _WORD.finditer(text[low:start])][-CONTEXT:]
-    after = []
-    for m in _WORD.finditer(text, end, end + reach):
-        after.append((m[0].lower(), m.start(), m.end()))
-        if len(after) == CONTEXT:
-            break
-    return [x for x in before + after if len(x[0]) >= MIN_TERM]
+def _outside(text: str, base: list[tuple[str, int, int]]) -> list[tuple[str, int, int]]:
+    """The words (lower-cased, start, end) that no base span touches."""
+    covered = bytearray(len(text))
+    for _, s, e in base:
+        covered[s:e] = b"\1" * (e - s)
+    return [(m[0].lower(), *m.span()) for m in _WORD.finditer(text) if covered.find(1, *m.span()) < 0]
 
 
 def contexts(docs: DataFrame) -> DataFrame:
-    """(entity, context, terms): the distinct contexts of every found entity; copies collapse early."""
+    """(context, entities, terms): the distinct documents with findings; copies collapse early."""
 
     def run(batches):
         for batch in batches:
             rows = set()
             for text in C.texts(batch):
-                for kind, s, e in base_spans(text):
-                    near = sorted({t for t, _, _ in _near(text, s, e)})
-                    key = hashlib.blake2b(" ".join(near).encode("utf-8", "surrogatepass"), digest_size=8).digest()
-                    rows.add((_entity(kind, text[s:e]), int.from_bytes(key, "big", signed=True), tuple(near)))
-            listed = list(zip(*rows, strict=True)) or [[], [], []]
-            yield pa.RecordBatch.from_arrays([pa.array(listed[0], pa.int64()), pa.array(listed[1], pa.int64()), pa.array([list(x) for x in listed[2]], pa.list_(pa.string()))], ["entity", "context", "terms"])
+                if base := base_spans(text):
+                    terms = tuple(sorted({t for t, _, _ in _outside(text, base)}))
+                    rows.add((tuple(sorted({_entity(kind, text[s:e]) for kind, s, e in base})), terms))
+            keys = [int.from_bytes(hashlib.blake2b(" ".join(t).encode("utf-8", "surrogatepass"), digest_size=8).digest(), "big", signed=True) for _, t in rows]
+            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array([list(e) for e, _ in rows], pa.list_(pa.int64())), pa.array([list(t) for _, t in rows], pa.list_(pa.string()))], ["context", "entities", "terms"])
 
-    found = docs.select("text").mapInArrow(run, "entity bigint, context bigint, terms array<string>")
-    return found.groupBy("entity", "context").agg(F.first("terms").alias("terms"))
+    found = docs.select("text").mapInArrow(run, "context bigint, entities array<bigint>, terms array<string>")
+    return found.groupBy("context", "entities").agg(F.first("terms").alias("terms"))
 
 
 def _blocks(df: DataFrame):
@@ -172,8 +165,10 @@ def disclosing(docs: DataFrame, *, threshold: float = DISCLOSURE, min_contexts:
     """(entity, term, disclosure) of the terms that reveal a protected entity."""
     C.prepare(docs.sparkSession)
     found = C.stored(contexts(docs))
-    sizes = found.groupBy("entity").agg(F.count("*").alias("n_e")).where(F.col("n_e") >= min_contexts)
-    together = found.join(sizes.select("entity"), "entity", "left_semi").select("entity", F.explode("terms").alias("term"))
+    held = found.select("context", F.explode("entities").alias("entity")).distinct()
+    sizes = C.stored(held.groupBy("entity").agg(F.count("*").alias("n_e")).where(F.col("n_e") >= min_contexts))
+    kept = found.select("context", F.explode("entities").alias("entity"), "terms").join(sizes.select("entity"), "entity", "left_semi")
+    together = kept.select("entity", "context", F.explode("terms").alias("term")).distinct()
     together = C.stored(together.groupBy("entity", "term").agg(F.count("*").alias("n_te")).where(F.col("n_te") >= min_contexts))
     n = docs.count()
     pmi = F.log2(F.col("n_te") / F.col("n_e") * F.lit(float(n)) / F.greatest("df", F.col("n_te")))
@@ -181,16 +176,10 @@ def disclosing(docs: DataFrame, *, threshold: float = DISCLOSURE, min_contexts:
     return together.join(document_frequencies(docs, together), "term").join(sizes, "entity").select("entity", "term", (pmi / whole).alias("disclosure")).where(F.col("disclosure") >= threshold)
 
 
-def _all_spans(text: str, pairs: dict[int, set[str]]) -> tuple[list[tuple[str, int, int]], list[tuple[str, int, int]]]:
-    base = base_spans(text)
-    more = set()
-    if pairs:
-        covered = [(s, e) for _, s, e in base]
-        for kind, s, e in base:
-            terms = pairs.get(_entity(kind, text[s:e]))
-            if terms:
-                more.update(("term", a, b) for t, a, b in _near(text, s, e) if t in terms and not any(x < b and a < y for x, y in covered))
-    return base, sorted(more, key=lambda x: x[1:])
+def _term_spans(text: str, base: list[tuple[str, int, int]], pairs: dict[int, set[str]]) -> set[tuple[str, int, int]]:
+    """Every occurrence of a term that reveals one of the entities in the text."""
+    terms = set().union(*[pairs.get(e, ()) for e in {_entity(kind, text[s:e]) for kind, s, e in base}])
+    return {("term", a, b) for t, a, b in _outside(text, base) if t in terms} if terms else set()
 
 
 def _redacted(text: str, spans: list[tuple[str, int, int]]) -> str:
@@ -226,7 +215,7 @@ def sanitise(docs: DataFrame, revealing: DataFrame | None = None) -> DataFrame:
             for text in batch.column("text").to_pylist():
                 found, more = base_spans(text or ""), set()
                 for shared in blocks if found else ():
-                    more.update(_all_spans(text, shared.value)[1])
+                    more.update(_term_spans(text, found, shared.value))
                 terms = sorted(more, key=lambda x: x[1:])
                 made.append(([f"{k}:{s}:{e}" for k, s, e in found], [f"{k}:{s}:{e}" for k, s, e in terms], None if text is None else _redacted(text, found + terms)))
             columns = list(zip(*made, strict=True)) or [[], [], []]

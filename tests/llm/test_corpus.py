@@ -178,6 +178,25 @@ def test_disclosing_terms(spark):
     assert pii.sanitise(df).where("size(base_spans) = 0 and text <> redacted").count() == 0
 
 
+def test_disclosing_terms_anywhere(spark):
+    rng = random.Random(6)
+    word = lambda: "".join(rng.choice("bcdfgaeiou") for _ in range(7))
+    text = lambda n: " ".join(word() for _ in range(n))
+    rows = [text(60) for _ in range(300)]
+    # Titles 40 words before the address, the name of two letters, the same words next to every address.
+    rows += [f"Zebrastar report {i}. {text(40)} please write to us in time at ann@x.example.com for all news {text(30)} Ng, zebrastar" for i in range(4)]
+    rows += ["Zebrastar report without an address", rows[-1]]
+    df = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    found = {r.doc_id: r for r in pii.sanitise(df).collect()}
+    for i in (300, 301, 302, 303, 305):
+        t = found[i].redacted
+        assert t.startswith("[TERM] ") and t.endswith("[TERM], [TERM]") and "[EMAIL]" in t, t
+    assert found[304].redacted == rows[304] and not any(found[i].term_spans for i in range(300))
+    # Three copies are one document: nothing is known of their entity.
+    few = spark.createDataFrame([(i, f"{rows[300]}") for i in range(3)] + [(9, rows[0])], "doc_id long, text string")
+    assert pii.sanitise(few).where("size(term_spans) > 0").count() == 0
+
+
 def _closure(n, links):
     root = list(range(n))
 
