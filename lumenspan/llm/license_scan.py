@@ -1,6 +1,7 @@
 """License scans: a trained paragraph classifier in DataFrame functions.
 
-A paragraph (line) becomes its content words: those of the model's vocabulary,
+Paragraphs are single lines and, for notices that are wrapped, blocks of lines
+up to a line without letters and digits.  A paragraph becomes its content words: those of the model's vocabulary,
 which holds the words of the licence templates without function words.  Its
 features are these words and the word bigrams among neighbours (at most
 ``GAP`` words apart).  A multinomial logistic regression over these sparse
@@ -8,7 +9,9 @@ features gives a probability for each licence family and for ``unknown``; the
 temperature is calibrated on held-out training paragraphs, and a family needs
 ``MIN_PROBABILITY``.  A comparison with the family's templates then confirms
 the prediction: the paragraph must hold at least ``MIN_CONTAINMENT`` of the
-features of one template.
+features of one template; a block must hold as much of its bigrams, so that
+words scattered over it don't count, and no template of another family better.
+A block counts as a notice unless one of its lines is one of the same family.
 
 The model is trained on the driver on a fixed list (templates, their shortened
 variants, and ordinary sentences that use licence words), so its size is
@@ -29,7 +32,7 @@ from collections import defaultdict
 from functools import cache
 
 import numpy as np
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import _common as C
@@ -90,6 +93,7 @@ TEMPLATES = {
     "lgpl": (
         "This library is licensed under the GNU Lesser General Public License, version 2.1.",
         "You should have received a copy of the GNU Lesser General Public License along with this library.",
+        "it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation",
         "SPDX-License-Identifier: LGPL-2.1-only",
     ),
     "mit": (
@@ -124,6 +128,8 @@ STOP = frozenset(
     "a an and are as at be by can for from has have if in into is it its may no not of on one or over should that the their this to under was were which will with you your all any along via part".split()
 )
 _SPLIT = r"[^\p{L}\p{N}]+"
+#: One or more lines without letters and digits, between two blocks.
+_BLANK = r"\n[^\p{L}\p{N}]*\n"
 
 
 def tokens(text: str) -> list[tuple[int, str]]:
@@ -211,41 +217,59 @@ def _local(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
 
 
 def paragraphs(docs: DataFrame) -> DataFrame:
-    """(doc_id, doc_hash, paragraph, family, probability, confirmed) of all paragraphs with content words enough."""
-    spark, m = docs.sparkSession, model()
+    """(doc_id, doc_hash, paragraph, family, probability, confirmed) of all lines with content words enough."""
+    base = docs.where("text is not null").select(F.col("doc_id"), F.xxhash64("text").alias("doc_hash"), F.posexplode(F.split(F.lower("text"), "\n")).alias("paragraph", "line"))
+    return _judged(base, ["doc_id", "doc_hash", "paragraph"], F.lit(False))
+
+
+def blocks(docs: DataFrame) -> DataFrame:
+    """The same for every line of every block, and as paragraph 0 for a block of several lines as a whole."""
+    base = docs.where("text is not null").select(F.col("doc_id"), F.xxhash64("text").alias("doc_hash"), F.posexplode(F.split(F.lower("text"), _BLANK)).alias("block", "whole"))
+    lines = F.split("whole", "\n")
+    parts = F.concat(F.array(F.when(F.size(lines) > 1, F.col("whole")).otherwise("")), lines)
+    return _judged(base.select("doc_id", "doc_hash", "block", F.posexplode(parts).alias("paragraph", "line")), ["doc_id", "doc_hash", "block", "paragraph"], F.col("paragraph") == 0)
+
+
+def _judged(base: DataFrame, key: list[str], joined: Column) -> DataFrame:
+    """``key`` with family, probability, containment and confirmed of the texts in ``line``; ``joined`` tells several lines."""
+    spark, m = base.sparkSession, model()
     words = _local(spark, list(vocabulary().items()), "w string, id int")
     v, classes = len(vocabulary()), m.classes
-    base = docs.where("text is not null").select(F.col("doc_id"), F.xxhash64("text").alias("doc_hash"), F.posexplode(F.split(F.lower("text"), "\n")).alias("paragraph", "line"))
-    seen = base.select("doc_id", "doc_hash", "paragraph", F.posexplode(F.split("line", _SPLIT)).alias("pos", "w")).join(words, "w")
-    key = ["doc_id", "doc_hash", "paragraph"]
+    seen = base.select(*key, F.posexplode(F.split("line", _SPLIT)).alias("pos", "w")).join(words, "w")
     found = seen.groupBy(*key).agg(F.array_sort(F.collect_set(F.struct("pos", "id"))).alias("own")).where(F.size("own") >= MIN_WORDS)
     ahead = F.slice(F.col("own"), F.lit(2), F.size("own"))
     bigrams = F.filter(F.zip_with(F.slice("own", F.lit(1), F.size("own") - 1), ahead, lambda a, b: F.when(b.pos - a.pos <= GAP, v + a.id * v + b.id)), lambda x: x.isNotNull())
     listed = found.select(*key, F.explode(F.array_distinct(F.concat(F.transform("own", lambda x: x.id), bigrams))).alias("f"))
     weights = _local(spark, [(int(f), *map(float, w)) for f, w in m.weights.items()], "f int, " + ", ".join(f"w{i} double" for i in range(len(classes))))
-    held: dict[int, list[tuple[int, float]]] = defaultdict(list)
+    held: dict[int, list[tuple[int, float, float]]] = defaultdict(list)
     for t, _, own in m.templates:
+        pairs = sum(f >= v for f in own)
         for f in own:
-            held[f].append((t, 1 / len(own)))
-    shares = _local(spark, [(int(f), t, s) for f, x in held.items() for t, s in x], "f int, t int, s double")
+            held[f].append((t, 1 / len(own), 1 / pairs if f >= v else 0.0))
+    shares = _local(spark, [(int(f), *x) for f, each in held.items() for x in each], "f int, t int, s double, s2 double")
     logits = listed.join(weights, "f", "left").groupBy(*key).agg(
         F.array(*[F.coalesce(F.sum(f"w{i}"), F.lit(0.0)) + F.lit(float(b)) for i, b in enumerate(m.intercepts)]).alias("z")
     )
     top = F.array_max("z")
     scored = logits.select(*key, F.array_position("z", top).cast("int").alias("c"), (F.lit(1.0) / F.aggregate("z", F.lit(0.0), lambda s, z: s + F.exp(z - top))).alias("probability"))
     by_class = _local(spark, [(t, c + 1) for t, c, _ in m.templates], "t int, c int")
-    contained = listed.join(shares, "f").groupBy(*key, "t").agg(F.sum("s").alias("s")).join(by_class, "t").groupBy(*key, "c").agg(F.max("s").alias("containment"))
-    same = [scored[k].eqNullSafe(contained[k]) for k in key] + [scored.c == contained.c]
-    joined = scored.join(contained, same, "left").select(*[scored[k] for k in key], scored.c, "probability", F.coalesce("containment", F.lit(0.0)).alias("containment"))
+    share = F.when(joined, F.col("s2")).otherwise(F.col("s"))
+    contained = listed.join(shares, "f").groupBy(*key, "t").agg(F.sum(share).alias("s")).join(by_class, "t").groupBy(*key, "c").agg(F.max("s").alias("containment"))
+    contained = contained.groupBy(*key).agg(F.max("containment").alias("best"), F.map_from_entries(F.collect_list(F.struct("c", "containment"))).alias("by"))
+    same = [scored[k].eqNullSafe(contained[k]) for k in key]
+    joint = scored.join(contained, same, "left").select(*[scored[k] for k in key], "c", "probability", F.coalesce(F.try_element_at("by", "c"), F.lit(0.0)).alias("containment"), "best")
     names = F.array(*map(F.lit, classes))
     confirmed = (F.col("c") < len(classes)) & (F.col("probability") >= MIN_PROBABILITY) & (F.col("containment") >= MIN_CONTAINMENT - 1e-9)
-    return joined.select(*key, F.element_at(names, F.col("c")).alias("family"), "probability", "containment", confirmed.alias("confirmed"))
+    confirmed = confirmed & (~joined | (F.col("containment") >= F.col("best") - 1e-9))
+    return joint.select(*key, F.element_at(names, F.col("c")).alias("family"), "probability", "containment", confirmed.alias("confirmed"))
 
 
 def scan(docs: DataFrame) -> DataFrame:
     """(doc_id, n_notices, license, licenses, score) of every row: the most frequent confirmed family and all of them."""
-    hits = paragraphs(docs).where("confirmed")
-    by = hits.groupBy("doc_id", "doc_hash", "family").agg(F.count("*").alias("n"), F.max("probability").alias("p"))
+    hits = blocks(docs).where("confirmed")
+    # A block as a whole is a notice unless one of its lines is one of the same family.
+    in_block = hits.groupBy("doc_id", "doc_hash", "block", "family").agg(F.greatest(F.sum((F.col("paragraph") > 0).cast("int")), F.lit(1)).alias("n"), F.max("probability").alias("probability"))
+    by = in_block.groupBy("doc_id", "doc_hash", "family").agg(F.sum("n").alias("n"), F.max("probability").alias("p"))
     found = by.groupBy("doc_id", "doc_hash").agg(
         F.sum("n").alias("n_notices"), F.array_sort(F.collect_list(F.struct((-F.col("n")).alias("n"), "family"))).alias("by"), F.array_sort(F.collect_set("family")).alias("licenses"), F.max("p").alias("score"),
     )

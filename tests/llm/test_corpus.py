@@ -299,6 +299,27 @@ def test_license_families(spark):
         assert v == (f, round(p, 6), c)
 
 
+def test_wrapped_notices(spark):
+    gpl = (
+        "This program is free software: you can redistribute it and/or modify\nit under the terms of the GNU General Public License as published by\nthe Free Software Foundation, either version 3 of the License, or\n(at your option) any later version.\n\n"
+        "You should have received a copy of the GNU General Public License\nalong with this program.  If not, see <https://www.gnu.org/licenses/>."
+    )
+    mit = (
+        'Permission is hereby granted, free of charge, to any person obtaining a copy\nof this software and associated documentation files (the "Software"), to deal\nin the Software without restriction, including without limitation the rights\nto use, copy, modify, merge, publish, distribute, sublicense, and/or sell\ncopies of the Software, and to permit persons to whom the Software is\nfurnished to do so, subject to the following conditions:\n\n'
+        "The above copyright notice and this permission notice shall be included in all\ncopies or substantial portions of the Software."
+    )
+    lesser = gpl.replace("General Public License", "Lesser General Public\nLicense").replace("program", "library")
+    comment = lambda t, mark: "\n".join(f"{mark}{x}".rstrip() for x in t.split("\n"))
+    texts = {
+        gpl: (2, "gpl", "gpl"), comment(gpl, "# ") + "\n\nimport os\n": (2, "gpl", "gpl"), "/*\n" + comment(mit, " * ") + "\n */\nint x;\n": (2, "mit", "mit"), comment(lesser, "-- "): (2, "lgpl", "lgpl"),
+        # Lines that are notices themselves count once, in a block or not.
+        "Licensed under the Apache License, Version 2.0.\nReleased under the MIT License.\nReleased under the MIT License.": (3, "mit", "apache,mit"),
+        "The copyright of songs is old.\nMany rights exist in the law.\nSeats were reserved for all.": (0, "unknown", ""),
+    }
+    got = {r.doc_id: (r.n_notices, r.license, r.licenses) for r in license_scan.scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    assert [got[i] for i in range(len(texts))] == list(texts.values())
+
+
 def test_fold_and_exceptions():
     m = toxicity.ToxicityModel({"idiot": 5.0, "trash": 5.0, "vequ*": 4.0}, coefficients=(-3.0, 1.0, 1.0))
     for t in ("IDIOT", "id1ot", "1d10t", "іdiоt", "i\u200bdiot", "ｉｄｉｏｔ", "vequabc"):
