@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 
 from lumenspan.llm import _common, bpe, decontaminate, near_dedup, pii, toxicity
 
-#: Items of fewer words are too short to tell a leak from a phrase of everyday language.
-MIN_ITEM_WORDS = 8
+#: Every item with a word is looked for; one shorter than a window is a window by itself.
+MIN_ITEM_WORDS = 1
 
 
 def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -350,6 +350,13 @@ def test_queries(spark, name):
     assert "FAIL" not in said and ": 0 rows" not in said, said
 
 
+def test_pipeline_looks_for_short_items(spark, tmp_path):
+    spark.createDataFrame([(1, "Which river crosses Paris"), (2, " ".join(f"word{i}" for i in range(20)))], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    texts = ["He asks: which river crosses Paris? None.", "which river crosses the town", " ".join(f"word{i}" for i in range(5, 15)), None]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert {r.doc_id for r in corpus_pipeline.drop_contaminated(spark, docs, str(tmp_path)).collect()} == {1, 3}
+
+
 def test_pipeline_against_its_parts(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     rows = {r.doc_id: r.text for r in docs.collect()}
