@@ -350,6 +350,17 @@ def test_queries(spark, name):
     assert "FAIL" not in said and ": 0 rows" not in said, said
 
 
+def test_bands_follow_the_threshold(spark, monkeypatch):
+    used = []
+    signatures = near_dedup.signatures
+    monkeypatch.setattr(near_dedup, "signatures", lambda docs, k, bands, rows: used.append((bands, rows)) or signatures(docs, k, bands, rows))
+    docs = spark.createDataFrame([(1, "a b c d e f g"), (2, "a b c d e f g"), (3, "h i j k l")], "doc_id long, text string")
+    assert {r.doc_id for r in corpus_pipeline.drop_near_duplicates(spark, docs, SF).collect()} == {1, 3}
+    near_dedup.near_duplicates(docs, k=3, percent=85).count()
+    for (bands, rows), likeness in zip(used, (0.8, 0.85), strict=True):
+        assert (1 - likeness**rows) ** bands <= 1e-5 < (1 - likeness**rows) ** (bands - 1)
+
+
 def test_pipeline_looks_for_short_items(spark, tmp_path):
     spark.createDataFrame([(1, "Which river crosses Paris"), (2, " ".join(f"word{i}" for i in range(20)))], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
     texts = ["He asks: which river crosses Paris? None.", "which river crosses the town", " ".join(f"word{i}" for i in range(5, 15)), None]
