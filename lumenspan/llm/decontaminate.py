@@ -1,11 +1,12 @@
 """Benchmark decontamination by a positional inverted index.
 
 Each Arrow batch of training documents is one shard of a document-partitioned
-index: its benchmark terms are stored as posting lists (term -> positions in
-the shard's word stream).  A query phrase is answered from its rarest term:
-that term's postings, shifted by the term's offset, are the candidate starts,
-which are intersected with the shifted postings of the next rarest terms until
-all terms of the phrase agree.  Which terms are rare is measured over all
+index: its benchmark terms have posting lists (term -> positions in the shard's
+word stream), built for the batch and not stored.  A query phrase is answered
+from its rarest term: that term's postings, shifted by the term's offset, are
+the candidate starts.  The other terms are compared with the word stream at
+their offsets, the next rarest first, instead of intersecting posting lists;
+both keep the same starts.  Which terms are rare is measured over all
 documents first.  Postings never leave their shard, so no key can be hot and
 nothing is shuffled but one count per benchmark term and task.
 
