@@ -11,8 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-#: Rows of an Arrow batch: bounds what a Python worker holds at once.
-BATCH_ROWS = 512
+#: Rows and bytes of an Arrow batch: bound what a Python worker holds at once (a longer text is a batch of its own).
+BATCH_ROWS, BATCH_BYTES = 512, 16 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -28,6 +28,7 @@ def prepare(spark: SparkSession) -> None:
     """Bound Arrow batches, and let Python workers import this package when run from a checkout."""
     if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch", "10000")) > BATCH_ROWS:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     root = str(Path(__file__).resolve().parents[2])
     environment = spark.sparkContext.environment
     if root not in environment.get("PYTHONPATH", "").split(os.pathsep):
@@ -35,9 +36,12 @@ def prepare(spark: SparkSession) -> None:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that every executor sees; one of our own only where the session names none."""
+    """The folder that every executor sees; one of our own only where a session without executors elsewhere names none."""
     folder = spark.conf.get("spark.checkpoint.dir", "") or ""
     if not folder:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         folder = f"file:///tmp/lumenspan-checkpoints-{os.getuid()}"
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder
