@@ -105,9 +105,17 @@ def href_suffix(url: Column) -> Column:
     return F.when(found == "", F.lit(".tif")).otherwise(found)
 
 
-def envi_header(path: Column) -> Column:
-    """The header beside an ENVI image: ``x.img`` has ``x.hdr``, any other ``x`` has ``x.hdr``; a header is its own."""
-    return F.when(F.endswith(path, F.lit(".hdr")), path).otherwise(F.concat(F.regexp_replace(path, r"\.(img|bin|dat|raw)$", ""), F.lit(".hdr")))
+def envi_header(path: Column, existing: Column | None = None) -> Column:
+    """The header beside an ENVI image.
+
+    ``x.img``, ``x.dat`` and ``x.raw`` have ``x.hdr``, or ``x.img.hdr`` if of the
+    two only that is among the ``existing`` paths (an array); any other ``x`` has
+    ``x.hdr`` behind its whole name; a header is its own.
+    """
+    beside, behind = F.regexp_replace(path, r"\.(img|dat|raw)$", ".hdr"), F.concat(path, F.lit(".hdr"))
+    only_behind = F.lit(False) if existing is None else F.array_contains(existing, behind) & ~F.array_contains(existing, beside)
+    image = F.rlike(path, F.lit(r"\.(img|dat|raw)$"))
+    return F.when(F.endswith(path, F.lit(".hdr")), path).when(image & ~only_behind, beside).otherwise(behind)
 
 
 def envi_list(text: Column) -> Column:

@@ -37,9 +37,10 @@ def intersect(a: tuple, b: tuple) -> tuple[Column, Column, Column, Column, Colum
 
 
 def box_overlap(a: tuple, b: tuple) -> Column:
-    """Share of box a that box b covers."""
+    """Share of box a that box b covers, by equal-area size."""
     l, lo, r, hi, empty = intersect(a, b)
-    return F.when(empty, F.lit(0.0)).otherwise((r - l) * (hi - lo) / F.greatest((a[2] - a[0]) * (a[3] - a[1]), F.lit(1e-9)))
+    size = lambda w, s, e, n: (equal_area(e, n)[0] - equal_area(w, s)[0]) * (equal_area(e, n)[1] - equal_area(w, s)[1])
+    return F.when(empty, F.lit(0.0)).otherwise(size(l, lo, r, hi) / F.greatest(size(*a), F.lit(1e-9)))
 
 
 def _k0() -> float:
@@ -95,12 +96,23 @@ def clip_convex(subject: list[tuple], clip: list[tuple]) -> list[tuple]:
     return out
 
 
+def convex(ring: list[tuple]) -> bool:
+    """Whether an open counter-clockwise ring turns left everywhere (straight corners are allowed)."""
+    n = len(ring)
+    size = max(1e-300, max(abs(c) for p in ring for c in p)) ** 2
+    turns = [(ring[(i + 1) % n][0] - ring[i][0]) * (ring[(i + 2) % n][1] - ring[i][1]) - (ring[(i + 1) % n][1] - ring[i][1]) * (ring[(i + 2) % n][0] - ring[i][0]) for i in range(n)]
+    return min(turns) >= -1e-9 * size
+
+
 def shoelace(ring: list[tuple]) -> float:
     return sum(p[0] * q[1] - q[0] * p[1] for p, q in zip(ring, ring[1:] + ring[:1], strict=True)) / 2 if ring else 0.0
 
 
 def polygon_overlap(df: DataFrame, a: str, b: str, name: str = "overlap") -> DataFrame:
-    """``df`` with the share of ring ``a`` that the convex ring ``b`` covers, on the equal-area grid."""
+    """``df`` with the share of ring ``a`` that the convex ring ``b`` covers, on the equal-area grid.
+
+    A ring ``b`` that is not convex is refused: clipping by its edges would give a wrong area.
+    """
     from pyspark.sql.types import DoubleType, StructType
 
     e, k0 = math.sqrt(E2), _k0()
@@ -122,6 +134,8 @@ def polygon_overlap(df: DataFrame, a: str, b: str, name: str = "overlap") -> Dat
                     shares.append(0.0)
                     continue
                 x, y = flat(x), flat(y)
+                if not convex(y):
+                    raise ValueError("the clipping ring is not convex")
                 shares.append(abs(shoelace(clip_convex(x, y))) / max(abs(shoelace(x)), 1e-9))
             yield frame.assign(**{name: shares})
 
@@ -207,6 +221,54 @@ def from_utm(x, y, zone: int, south: bool = False):
     return zone * 6 - 183 + np.degrees(np.arctan2(np.sinh(v), np.cos(u))), np.degrees(phi)
 
 
+def from_utm_columns(x: Column, y: Column, zone: int, south: bool = False) -> tuple[Column, Column]:
+    """Longitude and latitude of UTM coordinates as columns, by the same series as :func:`from_utm`."""
+    xi = (y - (10_000_000.0 if south else 0.0)) / (SCALE * _RADIUS)
+    eta = (x - EASTING) / (SCALE * _RADIUS)
+    u, v = xi, eta
+    for j, b in enumerate(_BETA, 1):
+        u = u - b * F.sin(2 * j * xi) * F.cosh(2 * j * eta)
+        v = v - b * F.cos(2 * j * xi) * F.sinh(2 * j * eta)
+    chi = F.asin(F.sin(u) / F.cosh(v))
+    phi = chi
+    for j, d in enumerate(_DELTA, 1):
+        phi = phi + d * F.sin(2 * j * chi)
+    return F.degrees(F.atan2(F.sinh(v), F.cos(u))) + (zone * 6 - 183), F.degrees(phi)
+
+
+def closed_rings(rings: Column) -> Column:
+    """Rings of three points or more, closed by their first point; the others are dropped."""
+    kept = F.filter(rings, lambda r: F.size(r) >= 3)
+    return F.transform(kept, lambda r: F.when(F.element_at(r, 1) == F.element_at(r, -1), r).otherwise(F.concat(r, F.array(F.element_at(r, 1)))))
+
+
+def wgs84_summary(rasters: DataFrame, points: int = 21) -> DataFrame:
+    """``rasters`` (epsg of a UTM zone, l, b, r, t) with west, south, east, north of the edges, densified, and the centre lon, lat."""
+    from pyspark.sql.types import DoubleType, StructType
+
+    names = ("west", "south", "east", "north", "lon", "lat")
+    schema = StructType([*rasters.schema.fields])
+    for name in names:
+        schema = schema.add(name, DoubleType())
+    k = np.linspace(0, 1, points + 2)
+
+    def run(batches):
+        for f in batches:
+            l, b, r, t = (f[c].to_numpy(float)[:, None] for c in "lbrt")
+            xs = np.concatenate([l + (r - l) * k, l + (r - l) * k, l + 0 * k, r + 0 * k], 1)
+            ys = np.concatenate([b + 0 * k, t + 0 * k, b + (t - b) * k, b + (t - b) * k], 1)
+            epsg = f["epsg"].to_numpy(int)
+            out = np.full((len(f), 6), np.nan)
+            for code in np.unique(epsg):
+                own = epsg == code
+                lon, lat = from_utm(xs[own], ys[own], code % 100, code >= 32700)
+                out[own, :4] = np.stack([lon.min(1), lat.min(1), lon.max(1), lat.max(1)], 1)
+            out[:, 4], out[:, 5] = (out[:, 0] + out[:, 2]) / 2, (out[:, 1] + out[:, 3]) / 2
+            yield f.assign(**{n: out[:, i] for i, n in enumerate(names)})
+
+    return rasters.mapInPandas(run, schema)
+
+
 def utm_zone(lon, lat):
     """NumPy (zone, south) of points; longitudes wrap."""
     return np.floor((np.asarray(lon, float) + 180) / 6).astype(int) % 60 + 1, np.asarray(lat, float) < 0

@@ -270,3 +270,180 @@ def deshift(target: DataFrame, coefficients: list[list[float]], nodata: float =
     valid = target.where(finite(F.col("v")) & (F.col("v") != nodata)).select("row", "col", "v")
     sums = asked.where("w > 0").join(valid, ["row", "col"]).groupBy("_row", "_col").agg(F.sum(F.col("w") * F.col("v")).alias("s"), F.sum("w").alias("w"))
     return sums.where("w > 1e-6").select(F.col("_row").alias("row"), F.col("_col").alias("col"), (F.col("s") / F.col("w")).alias("v"))
+
+
+def apply_mask(spectrum: Column, mask: Column, nodata: float = NODATA) -> Column:
+    """All bands of a pixel as nodata where its ``mask`` is 1."""
+    return F.when(mask == 1, F.transform(spectrum, lambda _: F.lit(nodata))).otherwise(spectrum)
+
+
+def apply_band_mask(spectrum: Column, bits: Column, nodata: float = NODATA) -> Column:
+    """The bands whose bit is 1 as nodata; bands without a bit stay."""
+    return F.transform(spectrum, lambda v, i: F.when(F.get(bits, i) == 1, F.lit(nodata)).otherwise(v))
+
+
+def is_black_exact(spectrum: Column, nodata: float | None) -> Column:
+    """All bands equal to nodata, or to 0 where the raster has none; NULL is not black."""
+    return F.coalesce(F.forall(spectrum, lambda v: v == F.lit(0.0 if nodata is None else nodata)), F.lit(False))
+
+
+def is_invalid(spectrum: Column, nodata: float | None = NODATA, zero: float = 1e-6) -> Column:
+    """All bands close to nodata, or all closer to 0 than ``zero``."""
+    near = F.lit(False) if nodata is None else F.forall(spectrum, lambda v: close_to(v, nodata, zero))
+    return near | F.forall(spectrum, lambda v: F.coalesce(~F.isnan(v) & (F.abs(v) < zero), F.lit(False)))
+
+
+def valid_rgb(spectrum: Column, *, every: bool = True) -> Column:
+    """All bands finite and the first above 0; with ``every`` false, any band above 0."""
+    if every:
+        return F.forall(spectrum, finite) & (F.get(spectrum, F.lit(0)) > 0)
+    return F.exists(spectrum, lambda v: finite(v) & (v > 0))
+
+
+def rgb_u8(spectrum: Column, bands: Sequence[int] = (1, 2, 3)) -> Column:
+    """The chosen 1-based bands of an 8-bit raster."""
+    return F.array(*[F.get(spectrum, F.lit(b - 1)).cast("short") for b in bands])
+
+
+def block_size(width: Column, height: Column) -> Column:
+    """Edge of a tiled file's blocks: 256, 64 or 16, as the smaller side allows."""
+    side = F.least(width, height)
+    return F.when(side >= 256, 256).when(side >= 64, 64).otherwise(16)
+
+
+def fits_grid(dx: Column, dy: Column, step: float = 60.0, tolerance: float = 1e-9) -> Column:
+    """Whether ``step`` is a whole multiple of both pixel sizes."""
+    whole = lambda d: F.abs(F.lit(step) / F.abs(d) - F.rint(F.lit(step) / F.abs(d))) <= tolerance
+    return (dx != 0) & (dy != 0) & whole(dx) & whole(dy)
+
+
+def pick_grid(candidates: DataFrame, height: int, width: int) -> DataFrame:
+    """(path): of (pos, path, height, width) the first raster of this shape; no row if none has it."""
+    return candidates.where((F.col("height") == height) & (F.col("width") == width)).orderBy("pos").limit(1).select("path")
+
+
+def whole_ratio(coarse: float, fine: float, tolerance: float = 0.1) -> int:
+    """The rounded ratio of two pixel sizes, refused if it is further than ``tolerance`` from a whole number."""
+    ratio = abs(coarse) / abs(fine)
+    if round(ratio) <= 0 or abs(ratio - round(ratio)) > tolerance:
+        raise ValueError(f"the pixel sizes have no whole ratio: {ratio:.3f}")
+    return round(ratio)
+
+
+def _shares(grid: DataFrame, size: int, stride: int, n_rows: int, n_cols: int, name: str) -> DataFrame:
+    """(tile_row, tile_col, name): the share of invalid cells of full tiles, each cell dealt to the tiles that cover it."""
+
+    def covering(c: str, n: int) -> Column:
+        lo = F.greatest(F.lit(0), F.ceil((F.col(c) - (size - 1)) / F.lit(stride)).cast("int"))
+        hi = F.least(F.lit(n - 1), F.floor(F.col(c) / F.lit(stride)).cast("int"))
+        return F.when(lo <= hi, F.sequence(lo, hi)).otherwise(F.array().cast("array<int>"))
+
+    bad = F.when(is_invalid(F.array("v")), 1.0).otherwise(0.0)
+    dealt = grid.select(bad.alias("b"), F.explode(covering("row", n_rows)).alias("tile_row"), "col").select("b", "tile_row", F.explode(covering("col", n_cols)).alias("tile_col"))
+    return dealt.groupBy("tile_row", "tile_col").agg(F.avg("b").alias(name), F.count("*").alias("_n")).where(F.col("_n") == size * size).drop("_n")
+
+
+def overlapping_pairs(coarse: DataFrame, fine: DataFrame, *, shape: tuple[int, int], fine_shape: tuple[int, int], size: int, scale: int, overlap: float, max_invalid: float) -> DataFrame:
+    """(tile_id, tile_row, tile_col, coarse_invalid, fine_invalid) of overlapping tile pairs that are clear enough.
+
+    ``tile_id`` counts all positions of the coarse raster row by row, also
+    those that are dropped; tiles that leave the fine raster are dropped.
+    """
+    stride = max(1, int(size * (1 - overlap)))
+    n_rows, n_cols = (max(0, (n - size) // stride + 1) for n in shape)
+    inside = ((F.col("tile_row") * stride + size) * scale <= fine_shape[0]) & ((F.col("tile_col") * stride + size) * scale <= fine_shape[1])
+    both = _shares(coarse, size, stride, n_rows, n_cols, "coarse_invalid").where(inside).join(_shares(fine, size * scale, stride * scale, n_rows, n_cols, "fine_invalid"), ["tile_row", "tile_col"])
+    kept = both.where((F.col("coarse_invalid") <= max_invalid) & (F.col("fine_invalid") <= max_invalid))
+    return kept.select((F.col("tile_row") * n_cols + F.col("tile_col")).alias("tile_id"), "tile_row", "tile_col", "coarse_invalid", "fine_invalid")
+
+
+#: Bands of a spectral stack in order, and those that keep their 10 m cells (fixed values).
+STACK = ("B02", "B03", "B04", "B08", "B05", "B06", "B07", "B8A", "B11", "B12")
+TEN_METRES = frozenset(STACK[:4])
+
+
+def stack_order(resolutions: dict[str, float]) -> list[str]:
+    """The bands of a stack from the pixel sizes of the bands there are: B8A only if it differs from B08; the other nine are required."""
+    lacking = [b for b in STACK if b != "B8A" and b not in resolutions]
+    if lacking:
+        raise ValueError(f"bands lack: {', '.join(lacking)}")
+    return [b for b in STACK if b != "B8A" or ("B8A" in resolutions and resolutions["B8A"] != resolutions["B08"])]
+
+
+def spectral_stack(grids: dict[str, DataFrame], resolutions: dict[str, float]) -> DataFrame:
+    """(row, col, spectrum) on the 10 m grid: 10 m bands as they are, the others bilinear."""
+    fine = resolutions["B02"] if "B02" in resolutions else 10.0
+    made = []
+    for band in stack_order(resolutions):
+        ratio = whole_ratio(resolutions[band], fine)
+        made.append(grids[band] if ratio == 1 else (upsample_nearest if band in TEN_METRES else upsample_bilinear)(grids[band], ratio))
+    return stack_bands(made)
+
+
+def te_window(raster: dict[str, Column], te: dict[str, Column], *, snap: bool = False, cover: bool = True, eps: float = 1e-9) -> Column:
+    """struct(row0, row1, col0, col1) of a target extent (l, b, r, t) in a raster (x0, dx, y0, dy, height, width).
+
+    ``snap`` first moves the edges half up to the raster's grid; ``cover`` takes
+    all cells that the extent touches, else offsets and sizes are rounded half to
+    even.  Cut to the raster; NULL where nothing is left.
+    """
+    x0, dx, y0, dy = (raster[k] for k in ("x0", "dx", "y0", "dy"))
+    l, b, r, t = (te[k] for k in "lbrt")
+    dy = F.abs(dy)
+    if snap:
+        sx, sy = (lambda x: F.floor((x - x0) / dx + 0.5) * dx + x0), (lambda y: y0 - F.floor((y0 - y) / dy + 0.5) * dy)
+        l, b, r, t = sx(l), sy(b), sx(r), sy(t)
+    c, k, w, h = (l - x0) / dx, (y0 - t) / dy, (r - l) / dx, (t - b) / dy
+    if cover:
+        c0, r0, c1, r1 = F.floor(c + eps), F.floor(k + eps), F.ceil(c + w - eps), F.ceil(k + h - eps)
+    else:
+        c0, r0 = F.rint(c), F.rint(k)
+        c1, r1 = c0 + F.rint(w), r0 + F.rint(h)
+    zero = F.lit(0)
+    low, left = F.greatest(r0.cast("int"), zero), F.greatest(c0.cast("int"), zero)
+    high, right = F.least(r1.cast("int"), raster["height"]), F.least(c1.cast("int"), raster["width"])
+    return F.when((r > l) & (t > b) & (high > low) & (right > left), F.struct(low.alias("row0"), high.alias("row1"), left.alias("col0"), right.alias("col1")))
+
+
+def overlap_windows(a: dict[str, Column], b: dict[str, Column]) -> Column:
+    """struct(a, b): the windows of two rasters of one EPSG code over their common area; NULL without one or across codes."""
+
+    def edges(x):
+        return x["x0"], x["y0"] - x["height"] * F.abs(x["dy"]), x["x0"] + x["width"] * x["dx"], x["y0"]
+
+    (al, ab, ar, at), (bl, bb, br, bt) = edges(a), edges(b)
+    te = {"l": F.greatest(al, bl), "b": F.greatest(ab, bb), "r": F.least(ar, br), "t": F.least(at, bt)}
+    own, other = te_window(a, te, cover=False), te_window(b, te, cover=False)
+    return F.when((a["epsg"] == b["epsg"]) & own.isNotNull() & other.isNotNull(), F.struct(own.alias("a"), other.alias("b")))
+
+
+def warp(source: DataFrame, *, transform: Sequence[float], zone: int, south: bool, extent: Sequence[float], size: tuple[int, int], nodata: float = NODATA) -> DataFrame:
+    """(row, col, v) of a longitude and latitude grid warped, cubic, onto a UTM grid of exact extent and size.
+
+    ``transform`` is (west, degrees a column, north, degrees a row, positive
+    downwards); ``extent`` is (l, b, r, t) in metres and ``size`` (height, width).
+    Every target cell looks up its centre by the inverse projection, asks for
+    its 16 neighbours in one equi-join, and is weighted over those with data;
+    the weights of a cell with less than half of them are not trusted: nodata.
+    """
+    from .geometry import from_utm_columns
+
+    (l, b, r, t), (height, width) = extent, size
+    west, dlon, north, dlat = transform
+    cells = grid_template(source.sparkSession, height, width).select("row", "col")
+    x, y = F.lit(l) + (F.col("col") + 0.5) * F.lit((r - l) / width), F.lit(t) - (F.col("row") + 0.5) * F.lit((t - b) / height)
+    lon, lat = from_utm_columns(x, y, zone, south)
+    placed = cells.withColumns({"_x": (lon - west) / dlon - 0.5, "_y": (F.lit(north) - lat) / dlat - 0.5})
+
+    def weight(d: Column, a: float = -0.5) -> Column:
+        near = ((a + 2) * d - (a + 3)) * d * d + 1
+        far = ((a * d - 5 * a) * d + 8 * a) * d - 4 * a
+        return F.when(d <= 1, near).when(d < 2, far).otherwise(0.0)
+
+    steps = [(i, j) for i in range(-1, 3) for j in range(-1, 3)]
+    asked = placed.select("row", "col", "_x", "_y", F.explode(F.array(*[F.struct((F.floor("_y") + i).cast("int").alias("r"), (F.floor("_x") + j).cast("int").alias("c")) for i, j in steps])).alias("n"))
+    asked = asked.select("row", "col", F.col("n.r").alias("_r"), F.col("n.c").alias("_c"), (weight(F.abs(F.col("_y") - F.col("n.r"))) * weight(F.abs(F.col("_x") - F.col("n.c")))).alias("w"))
+    valid = source.where(finite(F.col("v")) & (F.col("v") != nodata)).select(F.col("row").alias("_r"), F.col("col").alias("_c"), "v")
+    sums = asked.where("w <> 0").join(valid, ["_r", "_c"]).groupBy("row", "col").agg(F.sum(F.col("w") * F.col("v")).alias("s"), F.sum("w").alias("w"))
+    met = cells.join(sums, ["row", "col"], "left")
+    return met.select("row", "col", F.when(F.col("w") >= 0.5, F.col("s") / F.col("w")).otherwise(F.lit(nodata)).alias("v"))

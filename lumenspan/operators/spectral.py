@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ..functions.columns import finite
+
 #: Nominal multispectral bands (fixed values): name, centre and width in nm.
 NOMINAL_BANDS = (
     ("B01", 443.0, 20.0), ("B02", 490.0, 65.0), ("B03", 560.0, 35.0), ("B04", 665.0, 30.0), ("B05", 705.0, 15.0), ("B06", 740.0, 15.0),
@@ -142,3 +144,62 @@ def find_band(descriptions: DataFrame, keyword_sets: Sequence[Sequence[str]]) ->
         return F.min(F.when(ok, F.col("band_idx")))
 
     return descriptions.agg(F.coalesce(*[first(w) for w in keyword_sets]).alias("band_idx"))
+
+
+def units_to_nm(wavelength: Column, units: Column) -> Column:
+    """Wavelengths in nanometres by their unit's name; an unknown unit leaves them as they are."""
+    micro = F.lower(F.coalesce(units, F.lit(""))).isin("micrometers", "um", "µm")
+    return F.when(micro, wavelength * 1000).otherwise(wavelength)
+
+
+def band_dimension(sensor: DataFrame) -> DataFrame:
+    """(band_idx, center_nm, good) of one row with arrays ``wavelengths`` and, possibly NULL, ``good``."""
+    rows = sensor.select("good", F.posexplode("wavelengths").alias("band_idx", "center_nm"))
+    return rows.select("band_idx", F.col("center_nm").cast("float").alias("center_nm"), F.coalesce(F.get("good", F.col("band_idx")).cast("boolean"), F.lit(True)).alias("good"))
+
+
+def wavelengths_from_tags(tags: DataFrame) -> DataFrame:
+    """(raster_id, band, wl) from (raster_id, tags): the first number of every ``Band_<n>`` tag; bands without one are NULL, rasters without any have no row."""
+    found = tags.select("raster_id", F.explode("tags").alias("k", "v")).where(F.rlike("k", F.lit(r"^Band_\d+$")))
+    found = found.select("raster_id", F.regexp_extract("k", r"(\d+)", 1).cast("int").alias("band"), F.regexp_extract("v", r"(\d+(\.\d+)?)", 1).try_cast("double").alias("wl"))
+    slots = found.groupBy("raster_id").agg(F.max("band").alias("n")).select("raster_id", F.explode(F.sequence(F.lit(1), F.col("n"))).alias("band"))
+    return slots.join(found.groupBy("raster_id", "band").agg(F.min("wl").alias("wl")), ["raster_id", "band"], "left")
+
+
+def wavelengths_from_descriptions(bands: DataFrame, targets: Sequence[float], least: int = 10) -> DataFrame:
+    """(raster_id, target, band): 1-based bands nearest to ``targets`` by the wavelengths in (raster_id, band_idx, description).
+
+    The first number of a description counts, below 10 as micrometres; with
+    fewer than ``least`` numbers bands at 85, 55 and 25 % are taken in turn.
+    """
+    number = F.regexp_extract(F.coalesce("description", F.lit("")), r"(\d+(\.\d+)?)", 1).try_cast("double")
+    wl = F.when(number < 10, number * 1000).otherwise(number)
+    at = lambda t: F.min(F.when(wl.isNotNull(), F.struct(F.abs(wl - t), (F.col("band_idx") + 1).alias("band"))))["band"]
+    n = F.count("*") - 1
+    fixed = [(F.rint(F.lit(share) * n) + 1).cast("int") for share in (0.85, 0.55, 0.25)]
+    chosen = [F.when(F.count(wl) >= least, at(t)).otherwise(fixed[i % 3]) for i, t in enumerate(targets)]
+    rows = F.array(*[F.struct(F.lit(float(t)).alias("target"), c.alias("band")) for t, c in zip(targets, chosen, strict=True)])
+    return bands.groupBy("raster_id").agg(rows.alias("x")).select("raster_id", F.explode("x").alias("x")).select("raster_id", "x.target", "x.band")
+
+
+def band_map(descriptions: DataFrame) -> DataFrame:
+    """(raster_id, code, band) of (raster_id, band_idx, description): the upper-case token before ``_``, the last 1-based band of each."""
+    named = descriptions.where("description is not null and description <> ''")
+    return named.groupBy("raster_id", F.upper(F.element_at(F.split("description", "_"), 1)).alias("code")).agg((F.max("band_idx") + 1).alias("band"))
+
+
+def load_srf(sheet: DataFrame, wavelength: str, bands: dict[str, str]) -> DataFrame:
+    """(band, nm, response) of a wide sheet of texts: numbers only, responses above 0; a missing column is a KeyError."""
+    lacking = [c for c in (wavelength, *bands.values()) if c not in sheet.columns]
+    if lacking:
+        raise KeyError(", ".join(lacking))
+    wide = sheet.select(F.col(wavelength).try_cast("double").alias("nm"), *[F.col(c).try_cast("double").alias(b) for b, c in bands.items()])
+    return wide.unpivot("nm", list(bands), "band", "response").where(finite(F.col("nm")) & finite(F.col("response")) & (F.col("response") > 0)).select("band", "nm", "response")
+
+
+def pick_sheet(names: Sequence[str], platform: str) -> str:
+    """The first sheet that names spectral responses and the platform."""
+    for name in names:
+        if "Spectral Responses" in name and platform in name:
+            return name
+    raise ValueError(f"no sheet of {platform}")

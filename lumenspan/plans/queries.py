@@ -7,6 +7,7 @@ from pyspark.sql.window import Window
 
 from ..functions import columns as fc
 from ..operators import catalog, fit, geometry, radiometry, raster, spectral
+from ..sources import cube
 from ..sources import documents as docs_out
 from ..sources import fixtures as fx
 from ..sources import geotiff
@@ -103,7 +104,8 @@ def wl_units(spark, d):
 @query("wl_from_tags", f"WITH {BANDS} SELECT band_idx+1 AS band, round(center_nm,2) AS wl FROM bands")
 def wl_from_tags(spark, d):
     tags = fx.bands(spark).select(F.concat(F.lit("Band_"), F.col("band_idx") + 1).alias("tag"), F.concat(F.format_string("%.2f", "center_nm"), F.lit(" Nanometers")).alias("value"))
-    return tags.select(F.regexp_extract("tag", r"Band_(\d+)", 1).cast("int").alias("band"), F.regexp_extract("value", r"([0-9.]+)", 1).cast("double").alias("wl"))
+    one = tags.agg(F.lit("r").alias("raster_id"), F.map_from_entries(F.collect_list(F.struct("tag", "value"))).alias("tags"))
+    return spectral.wavelengths_from_tags(one).select("band", "wl")
 
 
 @query("envi_list_parse", f"WITH {BANDS} SELECT band_idx AS pos, round(round(center_nm,2),2) AS wl FROM bands")
@@ -136,8 +138,7 @@ def band_subsample(spark, d):
 @query("srf_load", "SELECT * FROM (VALUES ('B2',440.0::DOUBLE,0.1::DOUBLE),('B2',441.0,0.5),('B3',442.0,0.9)) t(band,nm,response)")
 def srf_load(spark, d):
     sheet = spark.createDataFrame([("440", "0.1", None), ("441", "0.5", "0"), ("442", "x", "0.9"), (None, "0.3", "NaN")], "SR_WL string, S_SR_AV_B2 string, S_SR_AV_B3 string")
-    wide = sheet.select(F.col("SR_WL").try_cast("double").alias("nm"), F.col("S_SR_AV_B2").try_cast("double").alias("B2"), F.col("S_SR_AV_B3").try_cast("double").alias("B3"))
-    return wide.unpivot("nm", ["B2", "B3"], "band", "response").where(fc.finite(F.col("nm")) & fc.finite(F.col("response")) & (F.col("response") > 0)).select("band", "nm", "response")
+    return spectral.load_srf(sheet, "SR_WL", {"B2": "S_SR_AV_B2", "B3": "S_SR_AV_B3"})
 
 
 @query("band_stack", f"WITH {FINE}, {COARSE} SELECT row, col, round(fine.v,6) AS b0, round(coarse.v,6) AS b1 FROM fine JOIN coarse USING (row, col)")
@@ -160,7 +161,7 @@ def catalog_search(spark, d):
 
 @query("stac_search_cloud_lt", f"WITH {ACQ_B} SELECT id, cloud FROM b WHERE cloud < 50 AND ts >= TIMESTAMP '2024-01-10' ORDER BY id LIMIT 20")
 def stac_search_cloud_lt(spark, d):
-    return fx.acquisitions_b(spark, d).where((F.col("cloud") < 50) & (F.col("ts") >= F.lit("2024-01-10").cast("timestamp_ntz"))).orderBy("id").limit(20).select("id", "cloud")
+    return catalog.stac_search(fx.acquisitions_b(spark, d), start="2024-01-10", stop="2100-01-01", max_cloud=50, limit=20).select("id", "cloud")
 
 
 @query("asset_link_filter", "SELECT page_id FROM pages WHERE contains(string_split(url,'/')[-1],'page=') OR contains(string_split(url,'/')[-1],'#top')")
@@ -179,29 +180,28 @@ def _assets(spark, d):
     return b.select("id", F.when(F.col("id") % 2 == 0, lit).otherwise(F.create_map(F.lit("scl-jp2"), F.lit("s2"), F.lit("nir"), F.lit("n2"))).alias("assets"))
 
 
-@query("best_asset_key", f"WITH {ACQ_B} SELECT id, CASE WHEN id%2=0 THEN 'SCL' ELSE 'scl-jp2' END AS scl_key, CASE WHEN id%2=0 THEN 'b08-JP2' ELSE 'nir' END AS nir_key FROM b WHERE id%7=0")
+@query("best_asset_key", f"WITH {ACQ_B} SELECT id, CASE WHEN id%2=0 THEN 'SCL' ELSE 'scl-jp2' END AS scl_key, CASE WHEN id%2=0 THEN 'b08-JP2' ELSE 'nir' END AS nir_key FROM b")
 def best_asset_key(spark, d):
     a = F.col("assets")
     return _assets(spark, d).select("id", catalog.asset_key(a, "scl").alias("scl_key"), F.coalesce(catalog.asset_key(a, "B08"), catalog.asset_key(a, "nir"), catalog.asset_key(a, "nir08")).alias("nir_key"))
 
 
-@query("assets_minimal", f"WITH {ACQ_B} SELECT id, unnest(CASE WHEN id%2=0 THEN ['B04','SCL'] ELSE ['nir'] END) AS k FROM b WHERE id%7=0")
+@query("assets_minimal", f"WITH {ACQ_B} SELECT id, unnest(CASE WHEN id%2=0 THEN ['B04','SCL'] ELSE ['nir'] END) AS k FROM b")
 def assets_minimal(spark, d):
     return _assets(spark, d).select("id", F.explode(F.map_keys(catalog.minimal_assets(F.col("assets"), ["B04", "SCL", "nir", "visual"]))).alias("k"))
 
 
-@query("related_urls", f"WITH {ACQ_B} SELECT id, 'GET DATA' AS type, 'https://x/' || id AS url FROM b WHERE id%7=0 UNION ALL SELECT id, 'VIEW', 'https://y/' || id FROM b WHERE id%7=0")
+@query("related_urls", f"WITH {ACQ_B} SELECT id, 'GET DATA' AS type, 'https://x/' || id AS url FROM b UNION ALL SELECT id, 'VIEW', 'https://y/' || id FROM b")
 def related_urls(spark, d):
     u = lambda t, p: F.struct(F.lit(t).alias("type"), F.concat(F.lit(p), F.col("id")).alias("url"))
     urls = F.array(u("GET DATA", "https://x/"), u("OTHER", "https://z/"), u("VIEW", "https://y/"))
     return fx.acquisitions_b(spark, d).select("id", F.explode(catalog.related_urls(urls, ["GET DATA", "VIEW"])).alias("u")).select("id", "u.type", "u.url")
 
 
-@query("file_records", f"WITH {ACQ_B} SELECT id, 'f' || id AS name, id*10 AS size_bytes FROM b WHERE id%7=0")
+@query("file_records", f"WITH {ACQ_B} SELECT id, 'f' || id AS name, id*10 AS size_bytes, 'nc' AS format, CASE WHEN id%2=0 THEN upper(printf('%x', id)) END AS checksum FROM b")
 def file_records(spark, d):
-    rec = F.array(F.struct(F.concat(F.lit("f"), F.col("id")).alias("Name"), (F.col("id") * 10).alias("SizeInBytes"), F.lit("nc").alias("Format")))
-    out = F.transform(rec, lambda x: F.struct(x["Name"].alias("name"), x["SizeInBytes"].alias("size_bytes")))
-    return fx.acquisitions_b(spark, d).select("id", F.explode(out).alias("x")).select("id", "x.name", "x.size_bytes")
+    rec = F.array(F.struct(F.concat(F.lit("f"), F.col("id")).alias("Name"), (F.col("id") * 10).alias("SizeInBytes"), F.lit("nc").alias("Format"), F.when(F.col("id") % 2 == 0, F.hex("id")).alias("Checksum")))
+    return fx.acquisitions_b(spark, d).select("id", F.explode(catalog.file_records(rec)).alias("x")).select("id", "x.*")
 
 
 @query("best_per_date", f"WITH {ACQ_A}, {BEST} SELECT id, ts::DATE AS date, cloud FROM best")
@@ -229,36 +229,45 @@ def circ_diff(spark, d):
     return fx.acquisitions_a(spark, d).select("id", r6(fc.circular_hours(F.hour("ts") + F.minute("ts") / F.lit(60.0), F.lit(23.5))).alias("h"))
 
 
-_SCENE = "scene AS (SELECT item, count(*) FILTER (code IN (8,9,10))/nullif(count(*) FILTER (code<>0),0)::DOUBLE AS cf FROM scl GROUP BY item)"
+#: Scenes with whole no-data ones, clear ones and ones whose class asset is a JP2 or lacks.
+SCL2 = "scl2 AS (SELECT vec_id//10 AS item, CASE WHEN vec_id//10%7=0 THEN 0 WHEN vec_id//10%5=1 THEN 4 ELSE label END::INT AS code FROM embeddings)"
+_SCENE = "scene AS (SELECT item, CASE WHEN count(*) FILTER (code<>0)=0 THEN 1.0 ELSE count(*) FILTER (code IN (8,9,10,11))/count(*) FILTER (code<>0)::DOUBLE END AS cf FROM scl2 WHERE item%11 NOT IN (3,4) GROUP BY item)"
+
+
+def _scl2(spark, d):
+    i = F.col("item")
+    return fx.scl(spark, d).withColumn("code", F.when(i % 7 == 0, 0).when(i % 5 == 1, 4).otherwise(F.col("code")))
 
 
 def _scenes(spark, d):
-    return catalog.scl_metrics(fx.scl(spark, d)).select((F.col("item") * 37).alias("item"), "cloud_fraction")
+    i = F.col("item")
+    assets = F.when(i % 11 == 3, F.create_map(F.lit("SCL-JP2"), F.lit("x"))).when(i % 11 == 4, F.create_map(F.lit("visual"), F.lit("x"))).otherwise(F.create_map(F.lit("scl"), F.lit("x")))
+    return catalog.scene_clouds(_scl2(spark, d).withColumn("assets", assets)).select((i * 7).alias("item"), "cloud_fraction")
 
 
-@query("best_pair", f"""WITH {ACQ_A}, {ACQ_B}, {BEST}, {SCL}, {_SCENE},
+@query("best_pair", f"""WITH {ACQ_A}, {ACQ_B}, {BEST}, {SCL2}, {_SCENE},
 p AS (SELECT a.id, b.id AS item_id, coalesce(b.cloud,999) AS meta, 1-abs(a.user_id-b.user_id)/150.0::DOUBLE AS ov,
  ((hour(a.ts)+minute(a.ts)/60.0::DOUBLE+(second(a.ts)::INT)/3600.0::DOUBLE+a.lon/15.0::DOUBLE)%24+24)%24 AS h1, ((hour(b.ts)+minute(b.ts)/60.0::DOUBLE+(second(b.ts)::INT)/3600.0::DOUBLE+a.lon/15.0::DOUBLE)%24+24)%24 AS h2
- FROM best a JOIN b ON abs(epoch_us(a.ts)-epoch_us(b.ts)) <= 3*86400000000),
+ FROM best a JOIN b ON abs(epoch_us(a.ts)-epoch_us(b.ts)) <= 3*86400000000 AND abs(a.lat-b.lat)<=70 AND least(abs(a.lon-b.lon), 360-abs(a.lon-b.lon))<=70),
 q AS (SELECT id, item_id, meta, ov, least(abs(h1-h2)%24, 24-abs(h1-h2)%24) AS tod FROM p),
 r AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY tod, ov DESC, meta, item_id) AS k FROM q WHERE tod<=1.5 AND ov>=0.6),
-s AS (SELECT r.id, item_id, cf, row_number() OVER (PARTITION BY r.id ORDER BY tod, ov DESC, cf NULLS FIRST, k) AS z FROM r JOIN scene ON item_id = item*37 WHERE k<=20),
+s AS (SELECT r.id, item_id, cf, row_number() OVER (PARTITION BY r.id ORDER BY tod, ov DESC, cf, k) AS z FROM r JOIN scene ON item_id = item*7 WHERE k<=20),
 c AS (SELECT id, count(*) AS n, count(*) FILTER (tod<=1.5) AS nt, count(*) FILTER (tod<=1.5 AND ov>=0.6) AS nf FROM q GROUP BY id)
 SELECT best.id, item_id, round(cf,6) AS cloud_fraction, CASE WHEN item_id IS NOT NULL THEN 'ok' WHEN coalesce(n,0)=0 THEN 'no_candidates' WHEN nt=0 THEN 'no_time_match' WHEN nf=0 THEN 'no_overlap' ELSE 'no_scene' END AS reason
 FROM best LEFT JOIN c ON c.id=best.id LEFT JOIN (SELECT * FROM s WHERE z=1) s ON s.id=best.id""")
 def best_pair(spark, d):
     granules = catalog.best_per_date(fx.acquisitions_a(spark, d)).drop("date")
     overlap = 1 - F.abs(F.col("a.user_id") - F.col("b.user_id")) / F.lit(150.0)
-    return catalog.best_pair(granules, fx.acquisitions_b(spark, d), _scenes(spark, d), overlap=overlap).select("id", "item_id", r6("cloud_fraction"), "reason")
+    return catalog.best_pair(granules, fx.acquisitions_b(spark, d), _scenes(spark, d), overlap=overlap, near=70.0).select("id", "item_id", r6("cloud_fraction"), "reason")
 
 
-@query("same_day_pair", f"WITH {ACQ_A}, {ACQ_B}, {BEST}, {SCL}, {_SCENE}, x AS (SELECT b.id AS item_id, ts::DATE AS d, cf, row_number() OVER (PARTITION BY ts::DATE ORDER BY cf NULLS FIRST, b.id) AS k FROM b JOIN scene ON b.id=item*37) SELECT best.id, item_id, round(cf,6) AS cloud_fraction FROM best JOIN x ON best.ts::DATE=d AND k=1")
+@query("same_day_pair", f"WITH {ACQ_A}, {ACQ_B}, {BEST}, {SCL2}, {_SCENE}, x AS (SELECT b.id AS item_id, ts::DATE AS d, cf, row_number() OVER (PARTITION BY ts::DATE ORDER BY cf, b.id) AS k FROM b JOIN scene ON b.id=item*7) SELECT best.id, item_id, round(cf,6) AS cloud_fraction FROM best JOIN x ON best.ts::DATE=d AND k=1")
 def same_day_pair(spark, d):
     granules = catalog.best_per_date(fx.acquisitions_a(spark, d)).drop("date")
     return catalog.same_day_pair(granules, fx.acquisitions_b(spark, d), _scenes(spark, d)).select("id", "item_id", r6("cloud_fraction"))
 
 
-@query("pair_filter", f"WITH {ACQ_A}, {ACQ_B}, {BEST}, {SCL}, {_SCENE}, x AS (SELECT b.id AS item_id, ts::DATE AS d, cf, row_number() OVER (PARTITION BY ts::DATE ORDER BY cf NULLS FIRST, b.id) AS k FROM b JOIN scene ON b.id=item*37) SELECT best.id, item_id FROM best JOIN x ON best.ts::DATE=d AND k=1 WHERE cf<=0.3")
+@query("pair_filter", f"WITH {ACQ_A}, {ACQ_B}, {BEST}, {SCL2}, {_SCENE}, x AS (SELECT b.id AS item_id, ts::DATE AS d, cf, row_number() OVER (PARTITION BY ts::DATE ORDER BY cf, b.id) AS k FROM b JOIN scene ON b.id=item*7) SELECT best.id, item_id FROM best JOIN x ON best.ts::DATE=d AND k=1 WHERE cf<=0.3")
 def pair_filter(spark, d):
     return same_day_pair(spark, d).where("item_id is not null and cloud_fraction <= 0.3").select("id", "item_id")
 
@@ -275,9 +284,9 @@ def cloud_count(spark, d):
     return catalog.cloud_count(fx.scl(spark, d))
 
 
-@query("clean_items", f"WITH {SCL} SELECT item FROM scl GROUP BY item HAVING count(*) FILTER (code IN (8,9,10,11))=0")
+@query("clean_items", f"WITH {SCL2} SELECT item FROM scl2 GROUP BY item HAVING count(*) FILTER (code IN (8,9,10,11))=0")
 def clean_items(spark, d):
-    return catalog.clean_items(fx.scl(spark, d))
+    return catalog.clean_items(_scl2(spark, d))
 
 
 @query("scl_metrics", f"WITH {SCL} SELECT item, count(*) FILTER (code IN (8,9,10)) AS clouds, count(*) FILTER (code<>0) AS valid, count(*) AS total, round(count(*) FILTER (code IN (8,9,10))/nullif(count(*) FILTER (code<>0),0)::DOUBLE,6) AS cloud_fraction FROM scl GROUP BY item")
@@ -296,7 +305,7 @@ def scl_classes(spark, d):
 @query("granule_summary", f"WITH {ACQ_A} SELECT id, 'G' || id AS granule, ts::DATE AS date, cloud, strftime(ts,'%Y-%m-%dT%H:%M:%SZ') AS begin_time FROM a")
 def granule_summary(spark, d):
     g = fx.acquisitions_a(spark, d).select("id", F.struct(F.concat(F.lit("G"), F.col("id")).alias("GranuleUR"), F.col("cloud").alias("CloudCover"), F.col("ts").alias("BeginningDateTime")).alias("umm"))
-    return g.select("id", F.col("umm.GranuleUR").alias("granule"), F.to_date("umm.BeginningDateTime").alias("date"), F.col("umm.CloudCover").alias("cloud"), F.date_format("umm.BeginningDateTime", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("begin_time"))
+    return docs_out.granule_summary(g)
 
 
 # --- geometry ---------------------------------------------------------------
@@ -329,10 +338,13 @@ def _box_pairs(spark, d):
     return a.withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(PAIR_SALTS)).cast("int")).join(dealt, ["user_id", "salt"]).drop("salt")
 
 
-_PAIRS = f"{ACQ_A}, {ACQ_B}, o AS (SELECT user_id, min(id) AS oid FROM b GROUP BY 1), bx AS (SELECT o.user_id, b.id AS oid, lon-1 AS l2, lat-1 AS b2, lon+1.5 AS r2, lat+0.5 AS t2 FROM o JOIN b ON b.id=oid), ax AS (SELECT id, user_id, lon-1 AS l1, lat-1 AS b1, lon+1.5 AS r1, lat+0.5 AS t1 FROM a), p AS (SELECT id, oid, greatest(l1,l2) AS l, greatest(b1,b2) AS b, least(r1,r2) AS r, least(t1,t2) AS t, (r1-l1)*(t1-b1) AS area FROM ax JOIN bx ON ax.user_id IN (bx.user_id, bx.user_id+1))"
+_PAIRS = f"{ACQ_A}, {ACQ_B}, o AS (SELECT user_id, id AS oid FROM b), bx AS (SELECT o.user_id, b.id AS oid, lon-1 AS l2, lat-1 AS b2, lon+1.5 AS r2, lat+0.5 AS t2 FROM o JOIN b ON b.id=oid), ax AS (SELECT id, user_id, lon-1 AS l1, lat-1 AS b1, lon+1.5 AS r1, lat+0.5 AS t1 FROM a), p AS (SELECT id, oid, greatest(l1,l2) AS l, greatest(b1,b2) AS b, least(r1,r2) AS r, least(t1,t2) AS t, b1, t1 FROM ax JOIN bx ON ax.user_id IN (bx.user_id, bx.user_id+1))"
+
+
+_Q = f"(sin(radians({{0}}))/(1-{geometry.E2!r}*sin(radians({{0}}))**2)-ln((1-sqrt({geometry.E2!r})*sin(radians({{0}})))/(1+sqrt({geometry.E2!r})*sin(radians({{0}}))))/(2*sqrt({geometry.E2!r})))"
 
 
-@query("overlap_frac", f"WITH {_PAIRS} SELECT id, oid, round(CASE WHEN r<=l OR t<=b THEN 0 ELSE (r-l)*(t-b)/greatest(area,1e-9) END,6) AS share FROM p")
+@query("overlap_frac", f"WITH {_PAIRS} SELECT id, oid, round(CASE WHEN r<=l OR t<=b THEN 0 ELSE (r-l)*({_Q.format('t')}-{_Q.format('b')})/(2.5*({_Q.format('t1')}-{_Q.format('b1')})) END,6) AS share FROM p")
 def overlap_frac(spark, d):
     f = F.col
     share = geometry.box_overlap(tuple(f(c) for c in "lbrt"), tuple(f(f"o.{c}") for c in "lbrt"))
@@ -346,7 +358,7 @@ def bounds_intersect(spark, d):
     return _box_pairs(spark, d).select("id", f("o.id").alias("oid"), *[r6(F.when(~empty, v)).alias(n) for n, v in zip("lbrt", (l, b, r, t), strict=True)])
 
 
-@query("polygon_overlap", None)
+@query("polygon_overlap", SQL["overlap_frac"].replace("AS share", "AS overlap"))
 def polygon_overlap(spark, d):
     ring = lambda p: geometry.box_ring(*[F.col(f"{p}{c}") for c in "lbrt"])
     pairs = _box_pairs(spark, d).select("id", F.col("o.id").alias("oid"), ring("").alias("ra"), ring("o.").alias("rb"))
@@ -439,7 +451,7 @@ def downsample_avg(spark, d):
     return raster.downsample_average(fx.grid_fine(spark, d), 6, 0.5).withColumn("v", r6(F.col("v")))
 
 
-@query("upsample_bilinear", f"WITH {COARSE}, dst AS (SELECT r::INT AS row, c::INT AS col, (r+0.5::DOUBLE)/2-0.5 AS y, (c+0.5::DOUBLE)/2-0.5 AS x FROM range(600) t(r), range(100) u(c)), n AS (SELECT row, col, floor(y)::INT+i AS sr, floor(x)::INT+j AS sc, (1-abs(y-floor(y)-i))*(1-abs(x-floor(x)-j)) AS w FROM dst, range(2) a(i), range(2) b(j)) SELECT n.row, n.col, round(sum(w*v)/sum(w),12) AS v FROM n JOIN coarse k ON k.row=sr AND k.col=sc WHERE v<>-9999 AND w>0 AND sr<300 GROUP BY ALL")
+@query("upsample_bilinear", f"WITH {COARSE}, dst AS (SELECT r::INT AS row, c::INT AS col, (r+0.5::DOUBLE)/2-0.5 AS y, (c+0.5::DOUBLE)/2-0.5 AS x FROM (SELECT unnest(range(2*(max(row)+1))) AS r FROM coarse) t, range(100) u(c)), n AS (SELECT row, col, floor(y)::INT+i AS sr, floor(x)::INT+j AS sc, (1-abs(y-floor(y)-i))*(1-abs(x-floor(x)-j)) AS w FROM dst, range(2) a(i), range(2) b(j)) SELECT n.row, n.col, round(sum(w*v)/sum(w),12) AS v FROM n JOIN coarse k ON k.row=sr AND k.col=sc WHERE v<>-9999 AND w>0 GROUP BY ALL")
 def upsample_bilinear(spark, d):
     return raster.upsample_bilinear(fx.grid_coarse(spark, d), 2).withColumn("v", r6(F.col("v"), 12))
 
@@ -472,7 +484,7 @@ def quality_mask(spark, d):
     return fx.table(spark, d, "embeddings").select("vec_id", raster.quality_mask(flags, [0, 2]).alias("m"))
 
 
-@query("band_mask_unpack", "SELECT v.vec_id, k::INT AS k, ((((vec_id*37+k//8*101)%256)::INT >> (7-k%8)::INT) & 1)::INT AS bit FROM embeddings v, range(285) t(k) WHERE vec_id<50")
+@query("band_mask_unpack", "SELECT v.vec_id, k::INT AS k, ((((vec_id*37+k//8*101)%256)::INT >> (7-k%8)::INT) & 1)::INT AS bit FROM embeddings v, range(285) t(k)")
 def band_mask_unpack(spark, d):
     packed = F.transform(F.sequence(F.lit(0), F.lit(35)), lambda i: ((F.col("vec_id") * 37 + i * 101) % 256).cast("int"))
     return fx.table(spark, d, "embeddings").select("vec_id", F.posexplode(raster.unpack_bits(packed)).alias("k", "bit"))
@@ -526,7 +538,7 @@ def paired_tiles(spark, d):
     return raster.paired_tiles(fx.grid_coarse(spark, d), fx.grid_fine(spark, d), size=5, scale=2, max_black=0.15).select("idx", "tile_row", "tile_col", r6("coarse_black"), r6("fine_black"))
 
 
-@query("sliding_tiles", f"WITH {FINE}, t AS (SELECT r::INT AS tile_row, c::INT AS tile_col FROM range(11) a(r), range(11) b(c)) SELECT tile_row*11+tile_col AS tile_id, tile_row, tile_col, round(avg({_BLACK}),6) AS black FROM t JOIN fine ON row BETWEEN tile_row*9 AND tile_row*9+9 AND col BETWEEN tile_col*9 AND tile_col*9+9 GROUP BY ALL")
+@query("sliding_tiles", f"WITH {FINE}, t AS (SELECT r::INT AS tile_row, c::INT AS tile_col FROM (SELECT unnest(range((max(row)+1-10)//9+1)) AS r FROM fine) a, range(11) b(c)) SELECT tile_row*11+tile_col AS tile_id, tile_row, tile_col, round(avg({_BLACK}),6) AS black FROM t JOIN fine ON row BETWEEN tile_row*9 AND tile_row*9+9 AND col BETWEEN tile_col*9 AND tile_col*9+9 GROUP BY ALL")
 def sliding_tiles(spark, d):
     g = fx.grid_fine(spark, d)
     m = g.agg(F.coalesce(F.max("row") + 1, F.lit(0)).alias("height"), F.coalesce(F.max("col") + 1, F.lit(0)).alias("width")).first()
@@ -581,7 +593,7 @@ def coreg(spark, d):
     return raster.coregister(g, g.withColumn("row", F.col("row") + 2)).withColumn("reliability", r6(F.col("reliability"), 2))
 
 
-@query("coreg_deshift", f"WITH {FINE} SELECT row, col, round(greatest(v,0),6) AS v FROM fine WHERE row BETWEEN 2 AND 95 AND col < 96")
+@query("coreg_deshift", f"WITH {FINE} SELECT row, col, round(greatest(v,0),6) AS v FROM fine WHERE row >= 2")
 def coreg_deshift(spark, d):
     g = fx.grid_fine(spark, d).withColumn("v", F.greatest("v", F.lit(0.0)))
     moved = g.withColumn("row", F.col("row") + 2)
@@ -694,13 +706,17 @@ def r2_rmse(spark, d):
     return fit.accuracy(long.select("band", "z.y", "z.y_hat")).select("band", r6("r2"), r6("rmse"))
 
 
-@query("obs_assemble", "SELECT l_orderkey, l_linenumber, k::INT AS k, [l_quantity,l_extendedprice,l_discount+0.0,l_tax+0.0][k+1] AS v FROM lineitem, range(4) t(k) WHERE l_orderkey<200")
+@query("obs_assemble", "SELECT l_orderkey, l_linenumber, k::INT AS k, [l_quantity,l_extendedprice,l_discount+0.0,l_tax+0.0][k+1] AS v FROM lineitem, range(4) t(k)")
 def obs_assemble(spark, d):
     li = fx.table(spark, d, "lineitem")
-    found = [next(c for c in li.columns if c in names) for names in (("path_length", "l_quantity"), ("l_extendedprice",), ("zenith", "l_discount"), ("l_tax", "slope"))]
-    return li.select("l_orderkey", "l_linenumber", F.posexplode(F.array(*[F.col(c) + 0.0 for c in found])).alias("k", "v"))
+    values = cube.assemble(li, (("path_length", "l_quantity"), ("l_extendedprice",), ("zenith", "l_discount"), ("l_tax", "slope")))
+    return li.select("l_orderkey", "l_linenumber", F.posexplode(values).alias("k", "v"))
 
 
-@query("envi_header_path", "SELECT * FROM (VALUES ('a.img','a.hdr'),('b','b.hdr'),('c.hdr','c.hdr'),('d.x.bin','d.x.hdr')) t(path,header)")
+@query("envi_header_path", "SELECT path, CASE WHEN kind=0 THEN stem || '.hdr' WHEN kind=1 THEN stem || '.img.hdr' WHEN kind=2 THEN stem || '.bin.hdr' ELSE stem || '.hdr' END AS header FROM (SELECT page_id%4 AS kind, 'd/p' || page_id AS stem, 'd/p' || page_id || CASE page_id%4 WHEN 0 THEN '.dat' WHEN 1 THEN '.img' WHEN 2 THEN '.bin' ELSE '.hdr' END AS path FROM pages)")
 def envi_header_path(spark, d):
-    return spark.createDataFrame([("a.img",), ("b",), ("c.hdr",), ("d.x.bin",)], "path string").select("path", fc.envi_header(F.col("path")).alias("header"))
+    stem = F.concat(F.lit("d/p"), F.col("page_id"))
+    kind = F.col("page_id") % 4
+    path = F.concat(stem, F.element_at(F.array(*map(F.lit, (".dat", ".img", ".bin", ".hdr"))), (kind + 1).cast("int")))
+    there = F.when(kind == 1, F.array(F.concat(path, F.lit(".hdr")))).otherwise(F.array(F.concat(stem, F.lit(".hdr"))))
+    return fx.table(spark, d, "pages").select(path.alias("path"), fc.envi_header(path, there).alias("header"))

@@ -59,3 +59,54 @@ def flat(rows: DataFrame) -> DataFrame:
 def write_manifest(rows: DataFrame, path: str) -> None:
     """One CSV file with a header under ``path``; existing output stays.  A manifest has a row a tile, so one file will do."""
     flat(rows).coalesce(1).write.mode("ignore").csv(path, header=True)
+
+
+def wavelengths_document(bands: DataFrame) -> DataFrame:
+    """(document): one JSON document with the wavelengths of (band_idx, center_nm) in band order."""
+    listed = F.transform(F.array_sort(F.collect_list(F.struct("band_idx", "center_nm"))), lambda x: x.center_nm)
+    return bands.agg(F.to_json(F.struct(F.lit("nm").alias("wavelength_units"), listed.alias("wavelengths_nm"))).alias("document"))
+
+
+def pair_documents(pairs: DataFrame) -> DataFrame:
+    """(date, document): a JSON entry for each pair (date, id, item_id, cloud, cloud_fraction, paths); missing values are null."""
+    keys = ("id", "path", "cloud", "item_id", "cloud_fraction", "visual", "folder", "binary", "figure")
+    named = F.struct(F.col("date").cast("string").alias("date"), *[F.col(k) for k in keys if k in pairs.columns])
+    return pairs.select("date", F.to_json(named, {"ignoreNullFields": "false"}).alias("document"))
+
+
+#: Properties that an item's summary groups, and the prefix that is cut from their names (fixed values).
+ITEM_GROUPS = {
+    "mgrs": ("grid:code", "mgrs:utm_zone", "mgrs:latitude_band", "mgrs:grid_square"),
+    "clouds": ("eo:cloud_cover", "s2:cloud_shadow_percentage", "s2:medium_proba_clouds_percentage", "s2:high_proba_clouds_percentage", "s2:thin_cirrus_percentage"),
+    "scene_percentages": (
+        "s2:nodata_pixel_percentage", "s2:dark_features_percentage", "s2:vegetation_percentage", "s2:not_vegetated_percentage", "s2:water_percentage", "s2:unclassified_percentage",
+        "s2:snow_ice_percentage",
+    ),
+    "sun": ("view:sun_azimuth", "view:sun_elevation"),
+    "processing": ("s2:processing_baseline", "s2:generation_time"),
+}
+
+
+def item_summary(items: DataFrame) -> DataFrame:
+    """(id, datetime, platform, and a map for each group of ``ITEM_GROUPS``, bounds, center) of (id, properties map, bbox array)."""
+    from ..operators.catalog import box, box_center
+
+    p = lambda k: F.try_element_at("properties", F.lit(k))
+    groups = [F.create_map(*[x for k in names for x in (F.lit(k), p(k))]).alias(group) for group, names in ITEM_GROUPS.items()]
+    bounds = box(F.col("bbox"))
+    return items.select("id", p("datetime").alias("datetime"), p("platform").alias("platform"), p("proj:code").alias("projection"), *groups, bounds.alias("bounds"), box_center(bounds).alias("center"))
+
+
+def granule_summary(granules: DataFrame) -> DataFrame:
+    """(id, granule, date, cloud, begin_time) of (id, umm): the fixed summary of nested granule metadata."""
+    at = F.col("umm.BeginningDateTime")
+    return granules.select("id", F.col("umm.GranuleUR").alias("granule"), F.to_date(at).alias("date"), F.col("umm.CloudCover").alias("cloud"), _utc(at).alias("begin_time"))
+
+
+def report(path: str, title: str, sections: list[tuple[str, list[str | None]]], *, append: bool = False) -> None:
+    """A markdown report of titled sections; ``None`` lines are left out; ``append`` keeps what the file holds."""
+    parts = [] if append else [f"# {title}\n"]
+    for name, lines in sections:
+        parts.append(f"\n## {name}\n" + "".join(f"- {line}\n" for line in lines if line is not None))
+    with open(path, "a" if append else "w", encoding="utf-8") as f:
+        f.write("".join(parts))

