@@ -3,9 +3,15 @@
 Training: hashed character trigram counts of each language, over at most
 ``MAX_DOCS`` documents a language (a bounded, hashed sample of the labelled
 rows).  Prediction: a document's trigrams are taken as draws from a mixture of
-the languages; EM estimates the proportions, and of the nested language sets
-(the likeliest alone, the two with the largest shares, ...) the one with the
-best penalised likelihood is selected.
+languages, whose proportions EM estimates.  The language set starts with the
+likeliest language and grows as long as its penalised likelihood does, by the
+language in whose direction the likelihood rises most; a set may hold all
+languages.  The log likelihood is concave in the proportions, so that rise also
+bounds what any further language can gain: documents whose bound is below the
+price of a language are settled without another EM.
+
+``score`` is the share of the predicted language in the selected set, as in
+``lang_shares``.
 
 Defined cases: a null text or one without a letter is ``und`` with score 0 and
 no languages; so is every text if nothing could be learned; rows with a null
@@ -27,14 +33,12 @@ from . import _common as C
 #: Labelled documents that a language is learned from, about.
 MAX_DOCS = 1500
 BITS = 15
-#: EM steps over all languages, and over each selected set.
-STEPS, SET_STEPS = 12, 6
+#: EM steps over each candidate set.
+STEPS = 8
 #: Trigrams overlap, so each counts as this share of an independent observation.
 INDEPENDENT = 1 / 3
-#: Largest number of languages that a document's set may have.
-MAX_SET = 3
-#: Documents whose trigrams are held at once.
-GROUP = 128
+#: Distinct trigrams times languages that are held at once (a longer text is a group of its own).
+GROUP = 4_000_000
 
 _LETTER: list[np.ndarray] = []
 _A, _B, _D = np.uint32(0x9E3779B1), np.uint32(0x85EBCA77), np.uint32(0xC2B2AE3D)
@@ -90,14 +94,50 @@ def fit(docs: DataFrame, *, max_docs: int = MAX_DOCS) -> LanguageModel:
     return LanguageModel(langs, np.log(p).astype(np.float32))
 
 
-def _em(p: np.ndarray, n: np.ndarray, edges: np.ndarray, sizes: np.ndarray, pi: np.ndarray, steps: int) -> tuple[np.ndarray, np.ndarray]:
-    """Mixture proportions of each document, and its log likelihood."""
+def _em(p: np.ndarray, n: np.ndarray, edges: np.ndarray, sizes: np.ndarray, pi: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Mixture proportions of each document after ``STEPS`` steps, and the likelihood of each of its trigrams."""
     total = np.add.reduceat(n, edges)[:, None]
-    for _ in range(steps):
+    for _ in range(STEPS):
         joint = p * np.repeat(pi, sizes, 0)
         joint *= (n / joint.sum(1))[:, None]
         pi = np.add.reduceat(joint, edges, 0) / total
-    return pi, np.add.reduceat(n * np.log((p * np.repeat(pi, sizes, 0)).sum(1)), edges)
+    return pi, (p * np.repeat(pi, sizes, 0)).sum(1)
+
+
+def _shares(log_p: np.ndarray, n: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Proportions (a row for each document) of the selected languages of documents with ``sizes`` trigrams of counts ``n``."""
+    edges = np.concatenate(([0], np.cumsum(sizes)))[:-1]
+    p = np.exp(log_p - log_p.max(1, keepdims=True))
+    first = np.add.reduceat(n[:, None] * log_p, edges, 0).argmax(1)
+    out = np.zeros((len(sizes), p.shape[1]), np.float32)
+    out[np.arange(len(sizes)), first] = 1
+    open_ = np.arange(len(sizes))
+    mix = p[np.arange(len(p)), np.repeat(first, sizes)]
+    for _ in range(p.shape[1] - 1):
+        total = np.add.reduceat(n, edges)
+        price = 0.5 * np.log(np.maximum(total, 2)) / INDEPENDENT
+        rise = np.add.reduceat(p * (n / np.maximum(mix, 1e-30))[:, None], edges, 0)
+        rise[out[open_] > 0] = -np.inf
+        able = rise.max(1) - total > price
+        if not able.any():
+            break
+        rows = np.repeat(able, sizes)
+        p, n, mix, open_, rise, price, sizes = p[rows], n[rows], mix[rows], open_[able], rise[able], price[able], sizes[able]
+        edges = np.concatenate(([0], np.cumsum(sizes)))[:-1]
+        added = rise.argmax(1)
+        k = (out[open_] > 0).sum(1)
+        start = out[open_] * (k / (k + 1))[:, None].astype(np.float32)
+        start[np.arange(len(open_)), added] = 1 / (k + 1)
+        pi, new = _em(p, n, edges, sizes, start)
+        gain = np.add.reduceat(n * (np.log(np.maximum(new, 1e-30)) - np.log(np.maximum(mix, 1e-30))), edges)
+        better = gain > price
+        out[open_[better]] = pi[better]
+        rows = np.repeat(better, sizes)
+        p, n, mix, open_, sizes = p[rows], n[rows], new[rows], open_[better], sizes[better]
+        if not len(open_):
+            break
+        edges = np.concatenate(([0], np.cumsum(sizes)))[:-1]
+    return out
 
 
 def infer(texts: list[str], model: LanguageModel) -> list[tuple[str, float, dict[str, float]]]:
@@ -106,43 +146,30 @@ def infer(texts: list[str], model: LanguageModel) -> list[tuple[str, float, dict
     n_langs = len(model.langs)
     if not n_langs:
         return out
-    for at in range(0, len(texts), GROUP):
-        grams, counts, sizes, own = [], [], [], []
-        for i, text in enumerate(texts[at : at + GROUP], at):
-            t = trigrams(text)
-            if len(t):
-                c = np.bincount(t, minlength=1 << BITS)
-                k = np.flatnonzero(c)
-                grams.append(k), counts.append(c[k]), sizes.append(len(k)), own.append(i)
-        if not own:
-            continue
-        log_p = model.log_p[np.concatenate(grams)]
-        n = np.concatenate(counts).astype(np.float32)
-        sizes = np.array(sizes)
-        edges = np.concatenate(([0], np.cumsum(sizes)))[:-1]
-        alone = np.add.reduceat(n[:, None] * log_p, edges, 0)
-        top = log_p.max(1, keepdims=True)
-        p = np.exp(log_p - top)
-        base = np.add.reduceat(n * top[:, 0], edges)
-        full, _ = _em(p, n, edges, sizes, np.full((len(own), n_langs), 1 / n_langs, np.float32), STEPS)
-        total = np.add.reduceat(n, edges)
-        price = 0.5 * np.log(np.maximum(total, 2)) / INDEPENDENT
-        best = alone.argmax(1)
-        pi = np.zeros_like(full)
-        pi[np.arange(len(own)), best] = 1
-        worth = alone.max(1)
-        order = np.argsort(-full, axis=1, kind="stable")
-        for k in range(2, min(MAX_SET, n_langs) + 1):
-            mask = np.zeros_like(full)
-            np.put_along_axis(mask, order[:, :k], 1, 1)
-            start = full * mask + 1e-3 * mask
-            some, ll = _em(p, n, edges, sizes, start / start.sum(1, keepdims=True), SET_STEPS)
-            gain = ll + base - (k - 1) * price
-            better = gain > worth
-            pi[better], worth[better] = some[better], gain[better]
-        for i, shares, whole in zip(own, pi, full, strict=True):
+    group: list[tuple[int, np.ndarray, np.ndarray]] = []
+    held = 0
+
+    def settle() -> None:
+        if not group:
+            return
+        log_p = model.log_p[np.concatenate([g for _, g, _ in group])]
+        counts = np.concatenate([c for _, _, c in group]).astype(np.float32)
+        for (i, _, _), shares in zip(group, _shares(log_p, counts, np.array([len(g) for _, g, _ in group])), strict=True):
             k = int(shares.argmax())
-            out[i] = (model.langs[k], float(min(1.0, max(0.0, whole[k]))), {model.langs[j]: float(shares[j]) for j in np.flatnonzero(shares > 0)})
+            out[i] = (model.langs[k], float(min(1.0, max(0.0, shares[k]))), {model.langs[j]: float(shares[j]) for j in np.flatnonzero(shares > 0)})
+        group.clear()
+
+    for i, text in enumerate(texts):
+        t = trigrams(text)
+        if len(t):
+            c = np.bincount(t, minlength=1 << BITS)
+            k = np.flatnonzero(c)
+            if held + len(k) * n_langs > GROUP:
+                settle()
+                held = 0
+            group.append((i, k, c[k]))
+            held += len(k) * n_langs
+    settle()
     return out
 
 
