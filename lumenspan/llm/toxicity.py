@@ -3,9 +3,11 @@
 Texts are folded first: compatibility forms, case, zero-width characters,
 homoglyphs of Latin letters, and digits or signs that stand for letters inside
 a word.  One automaton finds all lexicon entries (whole words, and stems that
-words begin with) and all exception phrases; hits inside an exception phrase
-don't count, and of entries that start together the longest counts.  The hits'
-weights, in sum and by the text's length, go through a logistic calibration.
+words begin with) and the first words of all exception phrases, whose other
+words may be parted by blanks, hyphens or other signs and of which the last may
+be a plural; hits inside an exception phrase don't count, and of entries that
+start together the longest counts.  The hits' weights, in sum and by the text's
+length, go through a logistic calibration.
 
 Learning: entries are words and word beginnings that are significantly more
 frequent in toxic documents (likelihood ratio over document frequencies), with
@@ -34,8 +36,6 @@ from . import _common as C
 
 #: Labelled documents that the model is fitted on, about.
 MAX_ROWS = 12_000
-#: Entries of a learned lexicon at most; the most significant stay.
-MAX_ENTRIES = 5_000
 STEMS = (4, 5, 6)
 #: Least likelihood ratio (G squared) and log odds of an entry.
 MIN_G, MIN_ODDS = 20.0, 1.5
@@ -51,7 +51,7 @@ HOMOGLYPHS = {
 }
 # Digits and signs used for letters inside words.
 SUBSTITUTES = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b", "@": "a", "$": "s", "!": "i"}
-#: Phrases in which a lexicon word is harmless.
+#: Phrases in which a lexicon word is harmless, unless a model is given others.
 EXCEPTIONS = ("trash can", "trash bin", "trash collection", "clown fish", "circus clown", "pond scum")
 
 _ZERO = dict.fromkeys((0x200B, 0x200C, 0x200D, 0x2060, 0xFEFF, 0xAD))
@@ -62,6 +62,20 @@ _SUBSTITUTED = str.maketrans(SUBSTITUTES)
 _WORD = re.compile(r"[^\W\d_]+")
 
 
+def _latin(m: re.Match) -> str:
+    """A disguised word in Latin letters: one that mixes them with others, or of four letters or more that all look like them."""
+    word = m[0]
+    if word.isascii():
+        return word
+    disguised = re.search("[a-z]", word) or (len(word) >= 4 and all(c in HOMOGLYPHS for c in word))
+    return word.translate(_GLYPHS) if disguised else word
+
+
+def _phrase(words: list[str]) -> re.Pattern:
+    """The words of an exception phrase, parted by anything but letters, the last one possibly a plural."""
+    return re.compile(r"[\W_]+".join(map(re.escape, words)) + r"(?:s|es)?(?![^\W\d_])")
+
+
 def fold(text: str | None) -> str:
     text = text or ""
     if not text.isascii():
@@ -69,8 +83,7 @@ def fold(text: str | None) -> str:
     text = text.lower()
     if not text.isascii() and _ODD.search(text):
         text = text.translate(_ZERO)
-        # Only words that also have Latin letters are disguised; whole words of another script stay.
-        text = re.sub(r"[^\W\d_]+", lambda m: m[0].translate(_GLYPHS) if re.search("[a-z]", m[0]) else m[0], text)
+        text = _WORD.sub(_latin, text)
     return _SIGNS.sub(lambda m: m[0].translate(_SUBSTITUTED), text)
 
 
@@ -100,7 +113,8 @@ class ToxicityModel:
                 stem = entry.endswith("*")
                 entries.setdefault(entry.rstrip("*"), []).append((stem, weight))
             for phrase in self.exceptions:
-                entries.setdefault(fold(phrase), []).append(None)
+                if words := _WORD.findall(fold(phrase)):
+                    entries.setdefault(words[0], []).append(_phrase(words))
             self._automaton = ahocorasick.Automaton()
             for text, kinds in entries.items():
                 self._automaton.add_word(text, (len(text), kinds))
@@ -121,9 +135,9 @@ class ToxicityModel:
                 continue
             inside = stop < len(text) and text[stop].isalpha()
             for kind in kinds:
-                if kind is None:
-                    if not inside:
-                        excepted.append((start, stop))
+                if isinstance(kind, re.Pattern):
+                    if m := kind.match(text, start):
+                        excepted.append(m.span())
                 elif kind[0] == inside and (start not in found or found[start][0] < stop):
                     found[start] = (stop, kind[1])
         return [(s, e, w) for s, (e, w) in sorted(found.items()) if not any(a <= s and e <= b for a, b in excepted)]
@@ -158,7 +172,7 @@ def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.05) -> np.ndarray:
     return w
 
 
-def fit(docs: DataFrame, labels: DataFrame, *, max_rows: int = MAX_ROWS) -> ToxicityModel:
+def fit(docs: DataFrame, labels: DataFrame, *, max_rows: int = MAX_ROWS, exceptions: tuple[str, ...] = EXCEPTIONS) -> ToxicityModel:
     """Learn from the texts of ``docs`` that ``labels`` (doc_id, toxic) marks."""
     spark = docs.sparkSession
     C.prepare(spark)
@@ -171,7 +185,8 @@ def fit(docs: DataFrame, labels: DataFrame, *, max_rows: int = MAX_ROWS) -> Toxi
     size = {r["_toxic"]: r["n"] for r in sample.groupBy("_toxic").agg(F.count("*").alias("n")).collect()}
     n0, n1 = size.get(0, 0), sum(v for k, v in size.items() if k)
     if not n0 or not n1:
-        return ToxicityModel({})
+        C.dropped(sample)
+        return ToxicityModel({}, exceptions)
 
     def count(batches):
         total = (Counter(), Counter())
@@ -190,8 +205,8 @@ def fit(docs: DataFrame, labels: DataFrame, *, max_rows: int = MAX_ROWS) -> Toxi
     words = counts.where("b > 0 and not endswith(entry, '*')")
     shares = words.select(F.explode(F.array(*[F.concat(F.substring("entry", 1, k), F.lit("*")) for k in STEMS])).alias("entry"), "b").groupBy("entry").agg(F.max("b").alias("most"))
     counts = counts.where("b > 2").join(shares, "entry", "left").where(~F.endswith("entry", F.lit("*")) | (F.col("most") <= MAX_SHARE * b))
-    rows = counts.select("entry", g.alias("g"), odds.alias("w")).where((F.col("g") >= MIN_G) & (F.col("w") >= MIN_ODDS)).orderBy(F.desc("g"), "entry").limit(MAX_ENTRIES).collect()
-    model = ToxicityModel({r["entry"]: r["w"] for r in rows})
+    rows = counts.select("entry", g.alias("g"), odds.alias("w")).where((F.col("g") >= MIN_G) & (F.col("w") >= MIN_ODDS)).collect()
+    model = ToxicityModel({r["entry"]: r["w"] for r in sorted(rows, key=lambda r: r["entry"])}, exceptions)
     shared = spark.sparkContext.broadcast(model)
 
     def measure(batches):
