@@ -8,6 +8,9 @@ longest rule (host and path together) decides.  The rules are a list of
 bounded size; the join is a broadcast join only while they number at most
 ``BROADCAST_RULES``.
 
+A popular host and path is one row of the smaller side of the join back, so
+adaptive execution can split it.
+
 Defined cases: a null URL or one without ``://`` has an empty host and path and
 takes the default verdict; repeated pages are each judged; of equal rules with
 different verdicts the block wins; further columns are carried along.
@@ -65,7 +68,9 @@ def judge(pages: DataFrame, rules: DataFrame, *, default: str = "allow") -> Data
     )
     shape = listed.agg(F.count("*").alias("n"), F.array_sort(F.collect_set("_n")).alias("lengths")).first()
     # One row for each expression; the page's own columns stay behind and come back by a key of its URL parts.
-    parts = base.select("host", "path").distinct()
+    # Rows without a host can't meet a rule and are many in one key: they stay out of the join.
+    bare = F.col("host") == ""
+    parts = base.where(~bare).select("host", "path").distinct()
     met = parts.select("host", "path", F.explode(expressions(F.col("host"), F.col("path"), shape.lengths)).alias("_e"))
     met = met.withColumn("_full", F.sha2("_e", 256)).withColumn("_prefix", F.substring("_full", 1, 8))
     right = F.broadcast(listed) if shape.n <= BROADCAST_RULES else listed
@@ -73,7 +78,8 @@ def judge(pages: DataFrame, rules: DataFrame, *, default: str = "allow") -> Data
         met.join(right, "_prefix").where("_full = _digest").groupBy("host", "path")
         .agg(F.max(F.struct(F.length("_rule").alias("n"), F.col("_verdict").alias("verdict"), F.col("_rule").alias("rule"))).alias("_best"))
     )
-    return base.join(best, ["host", "path"], "left").select(*keep, "host", "path", F.col("_best.rule").alias("rule"), F.coalesce("_best.verdict", F.lit(default)).alias("verdict"))
+    met = base.where(~bare).join(best, ["host", "path"], "left").select(*keep, "host", "path", F.col("_best.rule").alias("rule"), F.coalesce("_best.verdict", F.lit(default)).alias("verdict"))
+    return met.unionByName(base.where(bare).select(*keep, "host", "path", F.lit(None).cast("string").alias("rule"), F.lit(default).alias("verdict")))
 
 
 def query(spark, sf_dir: str) -> DataFrame:
