@@ -1,22 +1,28 @@
 """Document fingerprints: invertible Bloom lookup sketches of paragraph digests.
 
-Built from DataFrame functions only.  A text's paragraphs (lines; long lines in
-pieces of ``PIECE_WORDS`` words) become a set of 64-bit digests.  A fingerprint
-is a table of 24 cells (count, xor of digests, xor of check sums); each
-digest is in one cell of each of the ``HASHES`` parts of the table.  Two
-fingerprints subtract cell by cell, digests of both versions vanish, and
+Built from DataFrame functions only.  A text's paragraphs become a set of
+64-bit digests.  A paragraph ends with its line, and within a line at words
+whose hash says so (about one in ``CUT``), so that an inserted word changes only
+the paragraph around it; ``MOST`` words end it anyway, and the first words of a
+text are paragraphs by themselves, so that short texts have several.
+
+A fingerprint is a table of 24 cells (count, xor of digests, xor of check
+sums); each digest is in one cell of each of the ``HASHES`` parts of the table.
+Two fingerprints subtract cell by cell, digests of both versions vanish, and
 peeling pure cells recovers the digests that only one version has.  Where
 peeling fails the sketch is retried larger: the digests are dealt to so many
 tables that each should hold few differences, and a table that fails again is
-split into ``SPLIT`` with other hashes, down to ``DEPTH``; what is still stuck
-then is taken from the counts of the cells.
+split into ``SPLIT`` with other hashes, down to ``DEPTH``; the few digests of a
+table that is stuck even then are compared as they are, so the result is exact.
 
 The likeness of two versions is the Jaccard coefficient of their paragraph
 sets, from the sizes and the recovered differences.
 
 The next document is found without a global sort: documents are dealt into
-ranges of ids (quantiles), each range's first document is also dealt to the
-range before it, and a window within each range looks ahead.
+ranges of ids (quantiles; those without an id by the hash of their text), each
+range's first document is also dealt to the range before it, and a window within
+each range looks ahead.  A range holds about ``RANGE_ROWS`` rows, or more where
+that would make over ``MOST_RANGES`` of them; windows spill.
 
 Defined cases: a null text is an empty one, which has no digests (two empty
 sets are alike by 1); rows with equal doc_id follow each other by the hash of
@@ -34,7 +40,10 @@ from pyspark.sql.window import Window
 
 from . import _common as C
 
-PIECE_WORDS = 24
+#: One word in ``CUT`` ends a paragraph, by its hash; ``MOST`` words end it in any case.
+CUT, MOST = 16, 48
+#: Numbers of words after which a text's first paragraphs end.
+FIRST = (1, 3, 8)
 #: Parts of a table, and the binary logarithm of a part's cells: in a fingerprint, in the tables of retries.
 HASHES, PART_BITS, RETRY_BITS = 3, 3, 4
 #: Digests (of both versions) that a table of the first retry holds on average.
@@ -42,14 +51,29 @@ LOAD = 24
 #: Rounds that peeling takes at most; a table that needs more counts as failed.
 ROUNDS = 12
 SPLIT, DEPTH = 4, 2
-#: Rows of an id range, about.
-RANGE_ROWS = 2000
+#: Rows of an id range, about, and the number of ranges that the driver handles.
+RANGE_ROWS, MOST_RANGES = 2000, 50_000
+
+
+def paragraphs(text: Column) -> Column:
+    """A text's paragraphs: lines, cut at words by their hash; words are parted by one blank."""
+    found = F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(r"[^\s]++|\n"), F.lit(0))
+
+    def cut(w: Column) -> Column:
+        n = F.size(w)
+        ends = lambda i: (F.get(w, i - 1) == "\n") | (F.xxhash64(F.get(w, i - 1)).bitwiseAND(F.lit(CUT - 1)) == 0) | i.isin(*FIRST) | (i == n)
+        at = F.filter(F.sequence(F.lit(1), n), ends)
+        pairs = lambda e: F.zip_with(F.concat(F.array(F.lit(0)), F.slice(e, F.lit(1), F.size(e) - 1)), e, lambda a, b: F.struct(a.alias("a"), b.alias("b")))
+        most = lambda x: F.transform(F.sequence(x.a, x.b - 1, F.lit(MOST)), lambda a: F.struct(a.alias("a"), F.least(a + MOST, x.b).alias("b")))
+        parts = F.flatten(F.transform(_bind(at, pairs), most))
+        return F.when(n > 0, F.transform(parts, lambda x: F.rtrim(F.array_join(F.slice(w, x.a + 1, x.b - x.a), " "), F.lit(" \n")))).otherwise(F.array().cast("array<string>"))
+
+    return F.filter(_bind(found, cut), lambda p: p != "")
 
 
 def digests(text: Column) -> Column:
     """The sorted distinct digests of a text's paragraphs."""
-    pieces = F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(r"(?:[^\s]++[ \t]*+){1,%d}+" % PIECE_WORDS), F.lit(0))
-    return F.array_sort(F.array_distinct(F.transform(pieces, lambda p: F.xxhash64(F.rtrim(p)))))
+    return F.array_sort(F.array_distinct(F.transform(paragraphs(text), lambda p: F.xxhash64(p))))
 
 
 def _check(key: Column) -> Column:
@@ -104,7 +128,7 @@ def subtract(a: Column, b: Column) -> Column:
 def peel(table: Column, seed: int = 0) -> Column:
     """struct(ok, na, nb, only): numbers and signed digests of the recovered differences of a subtracted table.
 
-    Every round takes all pure cells at once.
+    Every round takes all pure cells at once; ``ok`` says that nothing is left.
     """
     start = F.struct(table.alias("t"), F.lit(False).alias("done"), F.array().cast("array<struct<k:bigint,s:int>>").alias("only"))
 
@@ -121,11 +145,9 @@ def peel(table: Column, seed: int = 0) -> Column:
         return F.when(state.done, state).otherwise(_bind(found, take))
 
     def finish(state: Column) -> Column:
-        # What is left: each remaining digest is counted once in each part of the table.
-        left = F.filter(state.t, lambda x: (x.c != 0) | (x.k != 0))
-        more = lambda sign: F.ceil(F.aggregate(left, F.lit(0), lambda n, x: n + F.greatest(x.c * sign, F.lit(0))) / F.lit(HASHES)).cast("int")
+        left = F.exists(state.t, lambda x: (x.c != 0) | (x.k != 0))
         own = lambda sign: F.size(F.filter(state.only, lambda x: x.s == sign))
-        return F.struct((F.size(left) == 0).alias("ok"), (own(1) + more(1)).alias("na"), (own(-1) + more(-1)).alias("nb"), state.only.alias("only"))
+        return F.struct((~left).alias("ok"), own(1).alias("na"), own(-1).alias("nb"), state.only.alias("only"))
 
     return F.aggregate(F.sequence(F.lit(1), F.lit(ROUNDS)), start, step, finish)
 
@@ -150,7 +172,8 @@ def _decode(pair: Column, depth: int) -> Column:
 
     def use(r: Column) -> Column:
         if depth == DEPTH:
-            return _numbers(r)
+            left = F.struct(F.size(F.array_except(pair.x, pair.y)).alias("na"), F.size(F.array_except(pair.y, pair.x)).alias("nb"))
+            return F.when(r.ok, _numbers(r)).otherwise(left)
         deal = lambda k: _bits(k, 48 + 2 * depth, SPLIT - 1)
         smaller = F.transform(
             F.sequence(F.lit(0).cast("bigint"), F.lit(SPLIT - 1).cast("bigint")),
@@ -196,37 +219,36 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     return docs.select(*keep, digests(F.col("text")).alias("_keys")).select(*keep, text_of(cells(F.col("_keys")), F.size("_keys")).alias("fingerprint"))
 
 
+def _above(edges: list[int], value: Column) -> Column:
+    """How many of the ``edges`` lie above ``value``, by binary search."""
+    if not edges:
+        return F.lit(0)
+    down = F.split(F.lit(",".join(map(str, sorted(edges, reverse=True)))), ",").cast("array<bigint>")
+    steps = [1 << k for k in range(len(edges).bit_length() - 1, -1, -1)]
+    return F.aggregate(F.lit(steps), F.lit(0), lambda at, s: F.when(F.get(down, at + s - 1) > value, at + s).otherwise(at))
+
+
 def with_next(docs: DataFrame) -> DataFrame:
     """(doc_id, text, keys, next_text, next_keys): every document beside the next one by descending doc_id."""
+    spark = docs.sparkSession
     ids = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"))
-    n = ids.count()
-    cut = max(1, min(10_000, n // RANGE_ROWS))
-    marks = ids.where("doc_id is not null").agg(F.percentile_approx("doc_id", [i / cut for i in range(1, cut)], 100_000).alias("m")).first().m if cut > 1 else []
+    n, known = ids.agg(F.count("*"), F.count("doc_id")).first()
+    cut = max(1, min(MOST_RANGES, known // RANGE_ROWS))
+    marks = ids.where("doc_id is not null").agg(F.percentile_approx("doc_id", [i / cut for i in range(1, cut)], 10 * MOST_RANGES).alias("m")).first().m if cut > 1 else []
     edges = sorted(set(marks or []))
-    # Ranges are numbered from the largest ids on; null ids form the last one.
-    own = F.lit(0)
-    if edges:
-        # How many edges lie above the id, in two steps: over every k-th edge, then within the k that follow.
-        down, k = edges[::-1], math.isqrt(len(edges)) + 1
-        above = lambda e: e > F.coalesce("doc_id", F.lit(-(2**63)))
-        coarse = F.size(F.filter(F.lit(down[k - 1 :: k]).cast("array<bigint>"), above)) if len(down) >= k else F.lit(0)
-        own = _bind(coarse, lambda c: c * k + F.size(F.filter(F.slice(F.lit(down), c * k + 1, F.lit(k)), above)))
-    own = F.when(F.col("doc_id").isNull(), F.lit(len(edges) + 1)).otherwise(own)
-    base = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")).withColumn("range", own).withColumn("tie", F.xxhash64("text"))
+    # Ranges are numbered from the largest ids on; rows without an id follow, in ranges of their text's hash.
+    rest = max(1, min(MOST_RANGES, (n - known) // RANGE_ROWS))
+    base = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")).withColumn("tie", F.xxhash64("text"))
+    by_tie = F.least(F.floor((F.col("tie") / F.lit(2.0**64) + 0.5) * rest), F.lit(rest - 1)).cast("int")
+    own = F.when(F.col("doc_id").isNull(), F.lit(len(edges) + 1) + by_tie).otherwise(_above(edges, F.col("doc_id")))
+    base = base.withColumn("range", own)
     # The first document of each range, by (doc_id descending, tie): few and thin.
-    heads = sorted(base.groupBy("range").agg(F.max_by(F.struct("doc_id", "tie"), F.struct("doc_id", -F.col("tie"))).alias("h"), F.count("*").alias("n")).collect(), key=lambda r: r["range"])
-    if not heads:
-        heads = []
-    before = {r["range"]: heads[k - 1]["range"] for k, r in enumerate(heads)}  # the first wraps to the last
-    copies = F.array().cast("array<struct<range:int,halo:boolean>>")
-    is_head = F.lit(False)
-    for_range = F.lit(None).cast("int")
-    if heads:
-        listed = F.create_map(*[F.lit(v) for r in heads for v in (r["range"], before[r["range"]])])
-        head_tie = F.create_map(*[F.lit(v) for r in heads for v in (r["range"], r["h"]["tie"])])
-        head_id = F.create_map(*[F.lit(v) for r in heads if r["h"]["doc_id"] is not None for v in (r["range"], r["h"]["doc_id"])]) if any(r["h"]["doc_id"] is not None for r in heads) else F.create_map().cast("map<int,bigint>")
-        is_head = F.col("tie").eqNullSafe(F.element_at(head_tie, F.col("range"))) & F.col("doc_id").eqNullSafe(F.try_element_at(head_id, F.col("range")))
-        for_range = F.element_at(listed, F.col("range"))
+    heads = sorted(base.groupBy("range").agg(F.max_by(F.struct("doc_id", "tie"), F.struct("doc_id", F.bitwise_not("tie"))).alias("h")).collect(), key=lambda r: r["range"])
+    before = [(r["range"], r["h"]["doc_id"], r["h"]["tie"], heads[k - 1]["range"]) for k, r in enumerate(heads)]  # the first wraps to the last
+    listed = F.broadcast(spark.createDataFrame(before, "range int, _id bigint, _tie bigint, _for int"))
+    base = base.join(listed, "range", "left")
+    is_head = F.col("tie").eqNullSafe(F.col("_tie")) & F.col("doc_id").eqNullSafe(F.col("_id"))
+    for_range = F.col("_for")
     row = lambda r, h: F.struct(r.cast("int").alias("range"), F.lit(h).alias("halo"))
     copies = F.when(is_head, F.array(row(F.col("range"), False), row(for_range, True))).otherwise(F.array(row(F.col("range"), False)))
     dealt = base.withColumn("_c", F.explode(copies)).select("doc_id", "text", "tie", "_c.range", "_c.halo").repartition(F.col("range")).withColumn("keys", digests(F.col("text")))
