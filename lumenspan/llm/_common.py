@@ -85,3 +85,41 @@ def mix64(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> _S30)) * _M1
     x = (x ^ (x >> _S27)) * _M2
     return x ^ (x >> _S31)
+
+
+_BYTE = mix64(np.arange(1, 257, dtype=np.uint64))
+ODD = np.uint64(0x9E3779B97F4A7C15) | np.uint64(1)
+ODD_INVERSE = np.uint64(pow(int(ODD), -1, 1 << 64))
+#: Longest piece of a text that is split into words at once, in bytes.
+PIECE = 1 << 20
+_POWERS: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+
+
+def _powers(n: int) -> list[np.ndarray]:
+    if len(_POWERS[0]) < n:
+        for k, base in ((0, ODD), (1, ODD_INVERSE)):
+            p = np.full(max(n, 1 << 17), base, np.uint64)
+            p[0] = 1
+            _POWERS[k] = np.multiply.accumulate(p)
+    return _POWERS
+
+
+def hashed_words(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """A 64-bit hash and the first byte of every word of a text whose words are parted by blanks (byte 32)."""
+    hashes, starts, at = [], [], 0
+    while at < len(data):
+        to = data.find(b" ", at + PIECE)
+        to = len(data) if to < 0 else to
+        part = np.frombuffer(data, np.uint8, to - at, at)
+        blank = part == 32
+        edge = np.flatnonzero(np.diff(np.concatenate(([True], blank, [True])).astype(np.int8)))
+        start, stop = edge[::2], edge[1::2]
+        up, down = _powers(len(part) + 1)
+        total = np.zeros(len(part) + 1, np.uint64)
+        np.cumsum(_BYTE[part] * up[: len(part)], out=total[1:])
+        hashes.append(mix64((total[stop] - total[start]) * down[start] + (stop - start).astype(np.uint64)))
+        starts.append(start + at)
+        at = to
+    if not hashes:
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    return np.concatenate(hashes), np.concatenate(starts)
