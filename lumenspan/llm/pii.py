@@ -6,16 +6,20 @@ e (a found value) and a term t (a word outside the base spans, of any length),
 
     pmi(t, e) = log2(p(t | e) / p(t)),  disclosure(t, e) = pmi(t, e) / -log2 p(e)
 
-where p(t | e) is the share of e's distinct documents that hold t anywhere,
-p(t) the share of all documents that hold t, and p(e) the share of documents
-with e.  A term that stands with e in at least ``MIN_CONTEXTS`` distinct
-documents and whose disclosure reaches ``DISCLOSURE`` becomes a span of kind
-``term`` wherever it occurs in a document with e.  ``redact`` removes base
-spans in favour of their kind and generalises terms to ``[TERM]``.
-
-Counts cover all documents.  A document with findings is stored as one row of
-entities and words; only those of protected entities are paired.  Terms and
-pairs are broadcast in blocks of ``BLOCK_PAIRS``.
+where p(t | e) is the share of e's documents that hold t anywhere, p(t) the
+share of all documents that hold t, and p(e) the share of documents with e; all
+three count documents, copies included.  A term whose disclosure reaches
+``DISCLOSURE`` and that stands with e in at least ``MIN_CONTEXTS`` documents
+that differ outside their base spans becomes a span of kind ``term`` wherever it
+occurs in a document with e.  Tokens that carry much information by themselves
+(``SECRET_LENGTH`` characters or more, letters and digits, at least
+``SECRET_BITS`` bits a character) are spans of kind ``secret``.  ``redact``
+removes base spans and secrets in favour of their kind and generalises terms to
+``[TERM]``.
+
+Counts cover all documents and meet in joins: term frequencies with the terms of
+protected entities, revealing terms with the texts that hold their entities, and
+those with the documents by the hash of their text.
 
 Defined cases: a null text is an empty one and has no spans (and stays null
 when redacted); documents with the same words outside their base spans
@@ -28,8 +32,9 @@ are carried along.
 from __future__ import annotations
 
 import hashlib
+import math
 import re
-from collections import Counter, defaultdict
+from collections import Counter
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -39,8 +44,12 @@ from . import _common as C
 
 MIN_CONTEXTS = 3
 DISCLOSURE = 0.75
-#: Terms, or (entity, term) pairs, that one pass broadcasts.
-BLOCK_PAIRS = 500_000
+#: Least length of a secret, and bits of information of each of its characters.
+SECRET_LENGTH, SECRET_BITS = 20, 3.0
+#: Distinct words that a task counts before it hands them on.
+VOCABULARY = 200_000
+#: Texts with revealing terms that a join may broadcast.
+BROADCAST_TEXTS = 200_000
 KINDS = ("email", "ip", "card", "phone")
 
 _LOCAL = frozenset("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789._%+-")
@@ -52,6 +61,7 @@ _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _DIGIT = re.compile(r"[0-9]")
 _NOT_DIGIT = re.compile(r"[^0-9]")
 _WORD = re.compile(r"[^\W\d_]+")
+_TOKEN = re.compile(r"[A-Za-z0-9+/_-]+")
 
 
 def emails(text: str) -> list[tuple[int, int]]:
@@ -115,71 +125,102 @@ def _outside(text: str, base: list[tuple[str, int, int]]) -> list[tuple[str, int
     return [(m[0].lower(), *m.span()) for m in _WORD.finditer(text) if covered.find(1, *m.span()) < 0]
 
 
-def contexts(docs: DataFrame) -> DataFrame:
-    """(context, entities, terms): the distinct documents with findings; copies collapse early."""
+def secrets(text: str, base: list[tuple[str, int, int]]) -> list[tuple[str, int, int]]:
+    """High-entropy tokens that no base span touches, as ('secret', start, end)."""
+    out = []
+    if not _DIGIT.search(text):
+        return out
+    for m in _TOKEN.finditer(text):
+        n = m.end() - m.start()
+        if n < SECRET_LENGTH or any(s < m.end() and m.start() < e for _, s, e in base):
+            continue
+        counts = Counter(m[0])
+        digits = sum(k for c, k in counts.items() if c.isdigit())
+        letters = sum(k for c, k in counts.items() if c.isalpha())
+        if min(digits, letters) * 8 >= n and -sum(k / n * math.log2(k / n) for k in counts.values()) >= SECRET_BITS:
+            out.append(("secret", *m.span()))
+    return out
+
+
+FINDINGS = "hash bigint, n bigint, context bigint, entities array<bigint>, terms array<string>"
+
+
+def _hashed(docs: DataFrame) -> DataFrame:
+    """``docs`` with _hash, that of the text."""
+    return docs.withColumn("_hash", F.xxhash64(F.coalesce("text", F.lit(""))))
+
+
+def findings(docs: DataFrame) -> DataFrame:
+    """Stored (hash, n, context, entities, terms) of the distinct texts with base spans.
+
+    ``n`` counts rows, ``hash`` is that of the text, ``context`` that of its terms.
+    """
+    C.prepare(docs.sparkSession)
 
     def run(batches):
         for batch in batches:
-            rows = set()
-            for text in C.texts(batch):
-                if base := base_spans(text):
-                    terms = tuple(sorted({t for t, _, _ in _outside(text, base)}))
-                    rows.add((tuple(sorted({_entity(kind, text[s:e]) for kind, s, e in base})), terms))
-            keys = [int.from_bytes(hashlib.blake2b(" ".join(t).encode("utf-8", "surrogatepass"), digest_size=8).digest(), "big", signed=True) for _, t in rows]
-            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array([list(e) for e, _ in rows], pa.list_(pa.int64())), pa.array([list(t) for _, t in rows], pa.list_(pa.string()))], ["context", "entities", "terms"])
-
-    found = docs.select("text").mapInArrow(run, "context bigint, entities array<bigint>, terms array<string>")
-    return found.groupBy("context", "entities").agg(F.first("terms").alias("terms"))
-
-
-def _blocks(df: DataFrame):
-    block = []
-    for row in df.toLocalIterator():
-        block.append(tuple(row))
-        if len(block) == BLOCK_PAIRS:
-            yield block
-            block = []
-    if block:
-        yield block
-
-
-def document_frequencies(docs: DataFrame, terms: DataFrame) -> DataFrame:
-    """(term, df) over all documents for the terms of ``terms``."""
-    spark = docs.sparkSession
-    out = spark.createDataFrame([], "term string, df bigint")
-    for block in _blocks(terms.select("term").distinct()):
-        shared = spark.sparkContext.broadcast(frozenset(t for (t,) in block))
-
-        def count(batches, shared=shared):
-            total: Counter = Counter()
-            for batch in batches:
-                for text in C.texts(batch):
-                    total.update(shared.value.intersection(_WORD.findall(text.lower())))
-            yield pa.RecordBatch.from_pydict({"term": pa.array(list(total), pa.string()), "df": pa.array(list(total.values()), pa.int64())})
-
-        out = out.unionByName(docs.select("text").mapInArrow(count, "term string, df bigint").groupBy("term").agg(F.sum("df").alias("df")))
-    return out
+            rows: dict[int, list] = {}
+            for text, own in zip(C.texts(batch), batch.column("_hash").to_pylist(), strict=True):
+                if own in rows:
+                    rows[own][1] += 1
+                elif base := base_spans(text):
+                    terms = sorted({t for t, _, _ in _outside(text, base)})
+                    key = int.from_bytes(hashlib.blake2b(" ".join(terms).encode("utf-8", "surrogatepass"), digest_size=8).digest(), "big", signed=True)
+                    rows[own] = [own, 1, key, sorted({_entity(kind, text[s:e]) for kind, s, e in base}), terms]
+            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.string()))
+            columns = list(zip(*rows.values(), strict=True)) or [[]] * 5
+            yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, kinds, strict=True)], ["hash", "n", "context", "entities", "terms"])
 
+    found = _hashed(docs).select("text", "_hash").mapInArrow(run, FINDINGS)
+    return C.stored(found.groupBy("hash").agg(F.sum("n").alias("n"), F.first("context").alias("context"), F.first("entities").alias("entities"), F.first("terms").alias("terms")))
 
-def disclosing(docs: DataFrame, *, threshold: float = DISCLOSURE, min_contexts: int = MIN_CONTEXTS) -> DataFrame:
-    """(entity, term, disclosure) of the terms that reveal a protected entity."""
-    C.prepare(docs.sparkSession)
-    found = C.stored(contexts(docs))
-    held = found.select("context", F.explode("entities").alias("entity")).distinct()
-    sizes = C.stored(held.groupBy("entity").agg(F.count("*").alias("n_e")).where(F.col("n_e") >= min_contexts))
-    kept = found.select("context", F.explode("entities").alias("entity"), "terms").join(sizes.select("entity"), "entity", "left_semi")
-    together = kept.select("entity", "context", F.explode("terms").alias("term")).distinct()
-    together = C.stored(together.groupBy("entity", "term").agg(F.count("*").alias("n_te")).where(F.col("n_te") >= min_contexts))
-    n = docs.count()
-    pmi = F.log2(F.col("n_te") / F.col("n_e") * F.lit(float(n)) / F.greatest("df", F.col("n_te")))
-    whole = F.greatest(F.log2(F.lit(float(max(n, 1))) / F.col("n_e")), F.lit(1e-9))
-    return together.join(document_frequencies(docs, together), "term").join(sizes, "entity").select("entity", "term", (pmi / whole).alias("disclosure")).where(F.col("disclosure") >= threshold)
+
+def document_frequencies(docs: DataFrame) -> DataFrame:
+    """(term, df): how many of all documents hold each word; counted in the tasks first."""
+
+    def count(batches):
+        total: Counter = Counter()
+
+        def handed():
+            return pa.RecordBatch.from_pydict({"term": pa.array(list(total), pa.string()), "df": pa.array(list(total.values()), pa.int64())})
+
+        for batch in batches:
+            for text in C.texts(batch):
+                total.update(set(_WORD.findall(text.lower())))
+                if len(total) > VOCABULARY:
+                    yield handed()
+                    total.clear()
+        yield handed()
+
+    return docs.select("text").mapInArrow(count, "term string, df bigint").groupBy("term").agg(F.sum("df").alias("df"))
+
+
+def disclosing(docs: DataFrame, found: DataFrame | None = None, *, threshold: float = DISCLOSURE, min_contexts: int = MIN_CONTEXTS) -> DataFrame:
+    """Stored (entity, term, disclosure) of the terms that reveal a protected entity; ``found`` are the :func:`findings` of ``docs``."""
+    own = findings(docs) if found is None else found
+    # Documents of one context and the same entities count once as contexts, and each as a document.
+    contexts = own.groupBy("context", "entities").agg(F.first("terms").alias("terms"), F.sum("n").alias("n"))
+    contexts = C.stored(contexts.select("context", F.explode("entities").alias("entity"), "terms", "n"))
+    sizes = C.stored(contexts.groupBy("entity").agg(F.count_distinct("context").alias("k"), F.sum("n").alias("n_e")).where(F.col("k") >= min_contexts).drop("k"))
+    kept = contexts.join(sizes.select("entity"), "entity", "left_semi")
+    per = kept.select("entity", "context", "n", F.explode("terms").alias("term")).groupBy("entity", "term").agg(F.count_distinct("context").alias("k"), F.sum("n").alias("n_te"))
+    together = C.stored(per.where(F.col("k") >= min_contexts).drop("k"))
+    if together.isEmpty():
+        out = docs.sparkSession.createDataFrame([], "entity bigint, term string, disclosure double")
+    else:
+        n = docs.count()
+        pmi = F.log2(F.col("n_te") / F.col("n_e") * F.lit(float(n)) / F.greatest("df", F.col("n_te")))
+        whole = F.greatest(F.log2(F.lit(float(max(n, 1))) / F.col("n_e")), F.lit(1e-9))
+        met = together.join(document_frequencies(docs), "term").join(sizes, "entity")
+        out = C.stored(met.select("entity", "term", (pmi / whole).alias("disclosure")).where(F.col("disclosure") >= threshold))
+    for old in (contexts, sizes, together, *([own] if found is None else [])):
+        C.dropped(old)
+    return out
 
 
-def _term_spans(text: str, base: list[tuple[str, int, int]], pairs: dict[int, set[str]]) -> set[tuple[str, int, int]]:
-    """Every occurrence of a term that reveals one of the entities in the text."""
-    terms = set().union(*[pairs.get(e, ()) for e in {_entity(kind, text[s:e]) for kind, s, e in base}])
-    return {("term", a, b) for t, a, b in _outside(text, base) if t in terms} if terms else set()
+def _term_spans(text: str, base: list[tuple[str, int, int]], terms: set[str]) -> list[tuple[str, int, int]]:
+    """Every occurrence of the ``terms`` outside the base spans."""
+    return [("term", a, b) for t, a, b in _outside(text, base) if t in terms] if terms else []
 
 
 def _redacted(text: str, spans: list[tuple[str, int, int]]) -> str:
@@ -194,32 +235,31 @@ def _redacted(text: str, spans: list[tuple[str, int, int]]) -> str:
 def sanitise(docs: DataFrame, revealing: DataFrame | None = None) -> DataFrame:
     """``docs`` with base_spans and term_spans (arrays of kind:start:end) and redacted (the text without them).
 
-    ``revealing`` is the result of :func:`disclosing`, by default that of ``docs``.
+    ``term_spans`` lists secrets, then terms.  ``revealing`` is the result of
+    :func:`disclosing`, by default that of ``docs``.
     """
-    spark = docs.sparkSession
-    C.prepare(spark)
-    revealing = disclosing(docs) if revealing is None else revealing
-    blocks = []
-    for block in _blocks(revealing.select("entity", "term")):
-        pairs: dict[int, set[str]] = defaultdict(set)
-        for entity, term in block:
-            pairs[entity].add(term)
-        blocks.append(spark.sparkContext.broadcast(dict(pairs)))
-    base = docs.select(*[c for c in docs.columns if c not in {"base_spans", "term_spans", "redacted"}])
-    schema = C.extended(base, "base_spans array<string>, term_spans array<string>, redacted string")
+    found = findings(docs)
+    revealing = disclosing(docs, found) if revealing is None else revealing
+    by_entity = revealing.groupBy("entity").agg(F.collect_set("term").alias("_terms"))
+    held = found.select("hash", F.explode("entities").alias("entity")).join(by_entity, "entity")
+    held = C.stored(held.groupBy(F.col("hash").alias("_text")).agg(F.array_distinct(F.flatten(F.collect_list("_terms"))).alias("_terms")))
+    C.dropped(found)
+    made = ("base_spans", "term_spans", "redacted")
+    keep = [c for c in docs.columns if c not in made]
+    base = _hashed(docs.select(*keep)).join(F.broadcast(held) if held.count() <= BROADCAST_TEXTS else held, F.col("_hash") == F.col("_text"), "left").select(*keep, "_terms")
+    schema = C.extended(docs.select(*keep), "base_spans array<string>, term_spans array<string>, redacted string")
     kinds = (pa.list_(pa.string()), pa.list_(pa.string()), pa.string())
 
     def run(batches):
         for batch in batches:
             made = []
-            for text in batch.column("text").to_pylist():
-                found, more = base_spans(text or ""), set()
-                for shared in blocks if found else ():
-                    more.update(_term_spans(text, found, shared.value))
-                terms = sorted(more, key=lambda x: x[1:])
-                made.append(([f"{k}:{s}:{e}" for k, s, e in found], [f"{k}:{s}:{e}" for k, s, e in terms], None if text is None else _redacted(text, found + terms)))
+            for text, terms in zip(batch.column("text").to_pylist(), batch.column("_terms").to_pylist(), strict=True):
+                own = base_spans(text or "")
+                more = secrets(text or "", own)
+                more += _term_spans(text or "", own + more, set(terms or ()))
+                made.append(([f"{k}:{s}:{e}" for k, s, e in own], [f"{k}:{s}:{e}" for k, s, e in more], None if text is None else _redacted(text, own + more)))
             columns = list(zip(*made, strict=True)) or [[], [], []]
-            yield pa.RecordBatch.from_arrays([*batch.columns, *[pa.array(list(c), t) for c, t in zip(columns, kinds, strict=True)]], schema.names)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *[pa.array(list(c), t) for c, t in zip(columns, kinds, strict=True)]], schema.names)
 
     return base.mapInArrow(run, schema)
 
