@@ -212,10 +212,12 @@ def _mapped(docs: DataFrame, path: str, make, names: list[tuple[str, str, pa.Dat
     def run(batches):
         bpe = load(path)
         gc.disable()  # encoding makes no cycles, and collections would walk its large tables
-        for batch in batches:
-            made = list(zip(*make(bpe, C.texts(batch)), strict=True)) or [[] for _ in names]
-            yield pa.RecordBatch.from_arrays([*batch.columns, *[pa.array(x, t) for x, (_, _, t) in zip(made, names, strict=True)]], columns)
-        gc.enable()
+        try:
+            for batch in batches:
+                made = list(zip(*make(bpe, C.texts(batch)), strict=True)) or [[] for _ in names]
+                yield pa.RecordBatch.from_arrays([*batch.columns, *[pa.array(x, t) for x, (_, _, t) in zip(made, names, strict=True)]], columns)
+        finally:
+            gc.enable()
 
     return base.mapInArrow(run, schema)
 
