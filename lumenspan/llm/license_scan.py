@@ -1,22 +1,27 @@
 """License scans: a trained paragraph classifier in DataFrame functions.
 
 Paragraphs are single lines and, for notices that are wrapped, blocks of lines
-up to a line without letters and digits.  A paragraph becomes its content words: those of the model's vocabulary,
-which holds the words of the licence templates without function words.  Its
-features are these words and the word bigrams among neighbours (at most
-``GAP`` words apart).  A multinomial logistic regression over these sparse
-features gives a probability for each licence family and for ``unknown``; the
-temperature is calibrated on held-out training paragraphs, and a family needs
-``MIN_PROBABILITY``.  A comparison with the family's templates then confirms
-the prediction: the paragraph must hold at least ``MIN_CONTAINMENT`` of the
-features of one template; a block must hold as much of its bigrams, so that
-words scattered over it don't count, and no template of another family better.
-A block counts as a notice unless one of its lines is one of the same family.
-
-The model is trained on the driver on a fixed list (templates, their shortened
-variants, and ordinary sentences that use licence words), so its size is
-constant.  Texts meet it in broadcast joins with its vocabulary and weights
-(a few thousand rows); only paragraphs with several content words move.
+up to a line without letters and digits.  A paragraph becomes its content words:
+those of the model's vocabulary, which holds the words of the licence texts
+without function words.  Its features are these words and the word bigrams among
+neighbours (at most ``GAP`` words apart).  A multinomial logistic regression over
+these sparse features gives a probability for each licence family and for
+``unknown``, which learns from ordinary sentences that use licence words and from
+licences of other names.  The temperature is calibrated on wordings, foreign
+names and sentences that the training texts don't have, and a family needs
+``MIN_PROBABILITY``.
+
+A comparison with templates (names, identifier lines and notices of all
+families) then confirms the prediction.  Features weigh by how few families use
+them; the paragraph must hold ``MIN_CONTAINMENT`` of the weight of one of the
+family's templates (of its bigrams for a block, so that words scattered over it
+don't count), and no template of another family that it holds may match with
+more weight: a NonCommercial notice also holds the plain one, with less.  A block
+counts as a notice unless one of its lines is one of the same family.
+
+The model is trained on the driver on the fixed list of :mod:`.license_texts`,
+so its size is constant.  Texts meet it in broadcast joins with its vocabulary and
+weights (a few thousand rows); only paragraphs with several content words move.
 
 Defined cases: null and empty texts have no paragraph; a paragraph without
 vocabulary words is unknown and not listed; repeated rows are each scanned
@@ -28,7 +33,7 @@ are ignored.
 from __future__ import annotations
 
 import re
-from collections import defaultdict
+from collections import Counter, defaultdict
 from functools import cache
 
 import numpy as np
@@ -36,6 +41,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import _common as C
+from .license_texts import FAMILIES, FOREIGN, FORMS, HELD_FOREIGN, HELD_FORMS, NOTICES, ORDINARY, foreign, templates, wordings
 
 GAP = 3
 MIN_PROBABILITY = 0.5
@@ -44,85 +50,6 @@ MIN_CONTAINMENT = 0.6
 MIN_WORDS = 2
 UNKNOWN = "unknown"
 
-#: Short notices and characteristic passages of licences, by family (fixed values).
-TEMPLATES = {
-    "agpl": (
-        "This program is licensed under the GNU Affero General Public License, version 3.",
-        "You should have received a copy of the GNU Affero General Public License along with this program.",
-        "it under the terms of the GNU Affero General Public License as published by the Free Software Foundation",
-        "SPDX-License-Identifier: AGPL-3.0-only",
-    ),
-    "apache": (
-        "Licensed under the Apache License, Version 2.0.",
-        "Licensed under the Apache License, Version 2.0 (the License); you may not use this file except in compliance with the License.",
-        "You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0",
-        "SPDX-License-Identifier: Apache-2.0",
-    ),
-    "bsd": (
-        "Released under the BSD 3-Clause License.",
-        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met",
-        "Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.",
-        "SPDX-License-Identifier: BSD-3-Clause",
-    ),
-    "cc-by": (
-        "This work is licensed under a Creative Commons Attribution 4.0 International License.",
-        "Licensed under CC BY 4.0.",
-        "SPDX-License-Identifier: CC-BY-4.0",
-    ),
-    "cc-by-nc": (
-        "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.",
-        "Licensed under CC BY-NC 4.0.",
-        "SPDX-License-Identifier: CC-BY-NC-4.0",
-    ),
-    "cc-by-sa": (
-        "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
-        "Licensed under CC BY-SA 4.0.",
-        "SPDX-License-Identifier: CC-BY-SA-4.0",
-    ),
-    "cc0": (
-        "To the extent possible under law, the author has waived all copyright and related rights. Dedicated to the public domain under CC0 1.0 Universal.",
-        "Released into the public domain under CC0.",
-        "SPDX-License-Identifier: CC0-1.0",
-    ),
-    "gpl": (
-        "This work is licensed under the GNU General Public License, version 3.",
-        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation",
-        "You should have received a copy of the GNU General Public License along with this program.",
-        "SPDX-License-Identifier: GPL-3.0-or-later",
-    ),
-    "lgpl": (
-        "This library is licensed under the GNU Lesser General Public License, version 2.1.",
-        "You should have received a copy of the GNU Lesser General Public License along with this library.",
-        "it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation",
-        "SPDX-License-Identifier: LGPL-2.1-only",
-    ),
-    "mit": (
-        "Released under the MIT License.",
-        "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files, to deal in the Software without restriction",
-        "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.",
-        "SPDX-License-Identifier: MIT",
-    ),
-    "mpl": (
-        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
-        "If a copy of the MPL was not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/.",
-        "SPDX-License-Identifier: MPL-2.0",
-    ),
-    "proprietary": (
-        "Copyright. All rights reserved.",
-        "This document is confidential and proprietary. No part may be reproduced without prior written permission.",
-        "Unauthorized copying of this file, via any medium, is strictly prohibited. Proprietary and confidential.",
-    ),
-}
-#: Ordinary sentences that use licence words (fixed values): the unknown class.
-ORDINARY = (
-    "Her driving license expired and the version of events changed.", "The general public may visit the free museum.", "A copy of the work was released under the title.",
-    "The software was distributed with the source code and documentation.", "Permission was granted by the author to use the file.", "The conditions of the work were met without restriction.",
-    "He obtained a license for the restaurant under the law.", "Public attention and international attribution of the painting.", "The foundation published terms for the program.",
-    "Creative work by commons members.", "Copyright law and rights of the author are discussed.", "All persons may use the library free of charge.",
-    "The notice was included in all copies of the newspaper.", "Apache is a helicopter and also a people.", "Students at MIT released a report.", "The license plate was reserved.",
-    "Please modify the source and binary and redistribute.", "No part of the document is confidential.", "This library is open to the general public.", "Mozilla released a version of the browser.",
-    "The following list of conditions must be retained.", "You may obtain a copy at the office.", "License.", "Copyright.", "version 2.0", "under the public domain", "The GNU animal is strictly protected.",
-)
 #: Function words, which no feature uses (fixed values).
 STOP = frozenset(
     "a an and are as at be by can for from has have if in into is it its may no not of on one or over should that the their this to under was were which will with you your all any along via part".split()
@@ -134,13 +61,14 @@ _BLANK = r"\n[^\p{L}\p{N}]*\n"
 
 def tokens(text: str) -> list[tuple[int, str]]:
     """(position, word) of a paragraph; the same rule as :func:`words`."""
-    found = [w for w in re.split(r"[\W_]+", text.lower())]
+    found = [w for w in re.split(r"[\W_]+", text.lower().replace("licence", "license"))]
     return [(i, w) for i, w in enumerate(found) if w and w not in STOP]
 
 
 @cache
 def vocabulary() -> dict[str, int]:
-    return {w: i for i, w in enumerate(sorted({w for texts in TEMPLATES.values() for t in texts for _, w in tokens(t)}))}
+    texts = [t for _, t in templates()] + [t for _, t in wordings(FORMS)]
+    return {w: i for i, w in enumerate(sorted({w for t in texts for _, w in tokens(t)}))}
 
 
 def features(pairs: list[tuple[int, str]]) -> set[int]:
@@ -151,60 +79,78 @@ def features(pairs: list[tuple[int, str]]) -> set[int]:
 
 
 class LicenseModel:
-    """Class names, weights (feature id to a row of class weights), intercepts, and template features."""
+    """Class names, weights (feature id to a row of class weights), intercepts, and the templates' weighted features."""
 
     def __init__(self) -> None:
-        self.classes = [*sorted(TEMPLATES), UNKNOWN]
-        rows: list[tuple[set[int], int, bool]] = []
-        for c, family in enumerate(self.classes[:-1]):
-            for text in TEMPLATES[family]:
+        self.classes = [*sorted(FAMILIES), UNKNOWN]
+        place = {c: i for i, c in enumerate(self.classes)}
+        unknown = place[UNKNOWN]
+        known = [(features(tokens(t)), place[f]) for f, t in wordings(FORMS)]
+        for f, texts in NOTICES.items():
+            for text in texts:
                 pairs = tokens(text)
-                # The text itself, leading and trailing parts, and every third word left out.
-                variants = [pairs, pairs[: max(2, len(pairs) * 3 // 4)], pairs[len(pairs) // 4 :], *[[x for i, x in enumerate(pairs) if i % 3 != k] for k in range(3) if len(pairs) > 5]]
-                rows += [(features(x), c, k % 3 == 2) for k, x in enumerate(variants)]
-        for k, text in enumerate(ORDINARY):
-            rows.append((features(tokens(text)), len(self.classes) - 1, k % 4 == 3))
-        for w in vocabulary():  # single words say nothing
-            rows.append((features([(0, w)]), len(self.classes) - 1, False))
-        used = sorted(set().union(*[f for f, _, _ in rows]))
-        place = {f: i for i, f in enumerate(used)}
-        x = np.zeros((len(rows), len(used) + 1))
-        x[:, -1] = 1
-        for r, (own, _, _) in enumerate(rows):
-            x[r, [place[f] for f in own]] = 1
-        y = np.eye(len(self.classes))[[c for _, c, _ in rows]]
-        held = np.array([h for _, _, h in rows])
-        w = self._fit(x[~held], y[~held])
-        scores = x[held] @ w
-        grid = np.linspace(0.3, 4, 38)
-        loss = [-np.log(np.maximum((self._softmax(scores / t) * y[held]).sum(1), 1e-12)).mean() for t in grid]
+                # The text itself, leading and trailing parts.
+                known += [(features(x), place[f]) for x in (pairs, pairs[: max(2, len(pairs) * 3 // 4)], pairs[len(pairs) // 4 :])]
+        strange = [(features(tokens(t)), unknown) for t in [*foreign(FOREIGN, FORMS), *(t for k, t in enumerate(ORDINARY) if k % 3)]]
+        strange += [(features([(0, w)]), unknown) for w in vocabulary()]  # single words say nothing
+        held = [(features(tokens(t)), place[f]) for f, t in wordings(HELD_FORMS)]
+        held += [(features(tokens(t)), unknown) for t in [*foreign(HELD_FOREIGN, HELD_FORMS), *ORDINARY[::3]]]
+        rows: Counter = Counter()
+        for own, c in known + strange:
+            rows[frozenset(own), c] = 1  # texts of the same features count once
+        self._used = {f: i for i, f in enumerate(sorted(set().union(*[f for f, _ in rows])))}
+        fitted = self._fit(self._matrix([f for f, _ in rows]), np.eye(len(self.classes), dtype=np.float32)[[c for _, c in rows]])
+        scores, truth = self._matrix([f for f, _ in held]) @ fitted, np.array([c for _, c in held])
+        grid = np.geomspace(0.05, 5, 60)
+        # One more wrong text than there are: without errors, ever sharper probabilities would look best.
+        slip = 1 / (len(truth) + 2)
+        sure = [np.clip(self._softmax(scores / t)[np.arange(len(truth)), truth].astype(float), 1e-9, 1 - 1e-9) for t in grid]
+        loss = [-((1 - slip) * np.log(p) + slip * np.log(1 - p)).mean() for p in sure]
         self.temperature = float(grid[int(np.argmin(loss))])
-        w = self._fit(x, y) / self.temperature
-        self.weights = {f: w[i] for f, i in place.items()}
-        self.intercepts = w[-1]
-        self.templates = [(t, c, features(tokens(text))) for t, (c, text) in enumerate((c, text) for c, f in enumerate(self.classes[:-1]) for text in TEMPLATES[f])]
+        fitted /= self.temperature
+        self.weights = {f: fitted[i] for f, i in self._used.items()}
+        self.intercepts = fitted[-1]
+        listed = [(place[f], features(tokens(t))) for f, t in templates()]
+        families: dict[int, set[int]] = defaultdict(set)
+        for c, own in listed:
+            for f in own:
+                families[f].add(c)
+        weight = {f: float(np.log((1 + len(FAMILIES)) / (1 + len(c))) + 0.01) for f, c in families.items()}
+        self.templates = [(t, c, {f: weight[f] for f in own}) for t, (c, own) in enumerate(listed)]
+
+    def _matrix(self, rows: list) -> np.ndarray:
+        x = np.zeros((len(rows), len(self._used) + 1), np.float32)
+        x[:, -1] = 1
+        for r, own in enumerate(rows):
+            x[r, [self._used[f] for f in own if f in self._used]] = 1
+        return x
 
     @staticmethod
     def _softmax(z: np.ndarray) -> np.ndarray:
         e = np.exp(z - z.max(1, keepdims=True))
         return e / e.sum(1, keepdims=True)
 
-    def _fit(self, x: np.ndarray, y: np.ndarray, ridge: float = 0.02, steps: int = 400) -> np.ndarray:
+    def _fit(self, x: np.ndarray, y: np.ndarray, ridge: float = 0.02, steps: int = 200) -> np.ndarray:
         """Accelerated gradient descent on the ridge multinomial loss."""
-        w = ahead = np.zeros((x.shape[1], y.shape[1]))
-        rate = 1 / (0.5 * np.linalg.norm(x, 2) ** 2 + ridge)
+        w = ahead = np.zeros((x.shape[1], y.shape[1]), np.float32)
+        rate = 1 / (0.5 * np.linalg.eigvalsh(x.T @ x)[-1] + ridge)
         for k in range(steps):
             new = ahead - rate * (x.T @ (self._softmax(x @ ahead) - y) + ridge * ahead)
             w, ahead = new, new + k / (k + 3) * (new - w)
-        return w
+        return w.astype(float)
 
     def predict(self, paragraph: str) -> tuple[str, float, bool]:
         """The plain form of the scan for one paragraph: (family, probability, confirmed)."""
         own = features(tokens(paragraph))
         p = self._softmax((sum((self.weights[f] for f in own if f in self.weights), np.zeros(len(self.classes))) + self.intercepts)[None])[0]
         c = int(p.argmax())
-        held = max((len(own & f) / len(f) for _, k, f in self.templates if k == c), default=0.0)
-        return self.classes[c], float(p[c]), bool(c < len(self.classes) - 1 and p[c] >= MIN_PROBABILITY and held >= MIN_CONTAINMENT)
+        best: dict[int, float] = defaultdict(float)
+        for _, k, weights in self.templates:
+            matched = sum(w for f, w in weights.items() if f in own)
+            if matched >= (MIN_CONTAINMENT - 1e-9) * sum(weights.values()):
+                best[k] = max(best[k], matched)
+        ok = c in best and best[c] >= max(best.values()) - 1e-9
+        return self.classes[c], float(p[c]), bool(c < len(self.classes) - 1 and p[c] >= MIN_PROBABILITY and ok)
 
 
 @cache
@@ -216,15 +162,20 @@ def _local(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
     return F.broadcast(spark.createDataFrame(rows, schema))
 
 
+def _lower() -> Column:
+    """The text in lower case, with one spelling of the licence's name."""
+    return F.replace(F.lower("text"), F.lit("licence"), F.lit("license"))
+
+
 def paragraphs(docs: DataFrame) -> DataFrame:
     """(doc_id, doc_hash, paragraph, family, probability, confirmed) of all lines with content words enough."""
-    base = docs.where("text is not null").select(F.col("doc_id"), F.xxhash64("text").alias("doc_hash"), F.posexplode(F.split(F.lower("text"), "\n")).alias("paragraph", "line"))
+    base = docs.where("text is not null").select(F.col("doc_id"), F.xxhash64("text").alias("doc_hash"), F.posexplode(F.split(_lower(), "\n")).alias("paragraph", "line"))
     return _judged(base, ["doc_id", "doc_hash", "paragraph"], F.lit(False))
 
 
 def blocks(docs: DataFrame) -> DataFrame:
     """The same for every line of every block, and as paragraph 0 for a block of several lines as a whole."""
-    base = docs.where("text is not null").select(F.col("doc_id"), F.xxhash64("text").alias("doc_hash"), F.posexplode(F.split(F.lower("text"), _BLANK)).alias("block", "whole"))
+    base = docs.where("text is not null").select(F.col("doc_id"), F.xxhash64("text").alias("doc_hash"), F.posexplode(F.split(_lower(), _BLANK)).alias("block", "whole"))
     lines = F.split("whole", "\n")
     parts = F.concat(F.array(F.when(F.size(lines) > 1, F.col("whole")).otherwise("")), lines)
     return _judged(base.select("doc_id", "doc_hash", "block", F.posexplode(parts).alias("paragraph", "line")), ["doc_id", "doc_hash", "block", "paragraph"], F.col("paragraph") == 0)
@@ -241,12 +192,12 @@ def _judged(base: DataFrame, key: list[str], joined: Column) -> DataFrame:
     bigrams = F.filter(F.zip_with(F.slice("own", F.lit(1), F.size("own") - 1), ahead, lambda a, b: F.when(b.pos - a.pos <= GAP, v + a.id * v + b.id)), lambda x: x.isNotNull())
     listed = found.select(*key, F.explode(F.array_distinct(F.concat(F.transform("own", lambda x: x.id), bigrams))).alias("f"))
     weights = _local(spark, [(int(f), *map(float, w)) for f, w in m.weights.items()], "f int, " + ", ".join(f"w{i} double" for i in range(len(classes))))
-    held: dict[int, list[tuple[int, float, float]]] = defaultdict(list)
+    held: dict[int, list[tuple[int, float, float, float]]] = defaultdict(list)
     for t, _, own in m.templates:
-        pairs = sum(f >= v for f in own)
-        for f in own:
-            held[f].append((t, 1 / len(own), 1 / pairs if f >= v else 0.0))
-    shares = _local(spark, [(int(f), *x) for f, each in held.items() for x in each], "f int, t int, s double, s2 double")
+        whole, pairs = sum(own.values()), sum(w for f, w in own.items() if f >= v)
+        for f, w in own.items():
+            held[f].append((t, w / whole, w / pairs if f >= v else 0.0, w))
+    shares = _local(spark, [(int(f), *x) for f, each in held.items() for x in each], "f int, t int, s double, s2 double, w double")
     logits = listed.join(weights, "f", "left").groupBy(*key).agg(
         F.array(*[F.coalesce(F.sum(f"w{i}"), F.lit(0.0)) + F.lit(float(b)) for i, b in enumerate(m.intercepts)]).alias("z")
     )
@@ -254,13 +205,14 @@ def _judged(base: DataFrame, key: list[str], joined: Column) -> DataFrame:
     scored = logits.select(*key, F.array_position("z", top).cast("int").alias("c"), (F.lit(1.0) / F.aggregate("z", F.lit(0.0), lambda s, z: s + F.exp(z - top))).alias("probability"))
     by_class = _local(spark, [(t, c + 1) for t, c, _ in m.templates], "t int, c int")
     share = F.when(joined, F.col("s2")).otherwise(F.col("s"))
-    contained = listed.join(shares, "f").groupBy(*key, "t").agg(F.sum(share).alias("s")).join(by_class, "t").groupBy(*key, "c").agg(F.max("s").alias("containment"))
-    contained = contained.groupBy(*key).agg(F.max("containment").alias("best"), F.map_from_entries(F.collect_list(F.struct("c", "containment"))).alias("by"))
+    matched = listed.join(shares, "f").groupBy(*key, "t").agg(F.sum(share).alias("s"), F.sum("w").alias("w")).where(F.col("s") >= MIN_CONTAINMENT - 1e-9)
+    contained = matched.join(by_class, "t").groupBy(*key, "c").agg(F.max("w").alias("w"), F.max("s").alias("s"))
+    contained = contained.groupBy(*key).agg(F.max("w").alias("best"), F.map_from_entries(F.collect_list(F.struct("c", F.struct("w", "s").alias("x")))).alias("by"))
     same = [scored[k].eqNullSafe(contained[k]) for k in key]
-    joint = scored.join(contained, same, "left").select(*[scored[k] for k in key], "c", "probability", F.coalesce(F.try_element_at("by", "c"), F.lit(0.0)).alias("containment"), "best")
+    own = F.try_element_at("by", "c")
+    joint = scored.join(contained, same, "left").select(*[scored[k] for k in key], "c", "probability", F.coalesce(own.w, F.lit(0.0)).alias("matched"), F.coalesce(own.s, F.lit(0.0)).alias("containment"), "best")
     names = F.array(*map(F.lit, classes))
-    confirmed = (F.col("c") < len(classes)) & (F.col("probability") >= MIN_PROBABILITY) & (F.col("containment") >= MIN_CONTAINMENT - 1e-9)
-    confirmed = confirmed & (~joined | (F.col("containment") >= F.col("best") - 1e-9))
+    confirmed = (F.col("c") < len(classes)) & (F.col("probability") >= MIN_PROBABILITY) & F.coalesce((F.col("matched") > 0) & (F.col("matched") >= F.col("best") - 1e-9), F.lit(False))
     return joint.select(*key, F.element_at(names, F.col("c")).alias("family"), "probability", "containment", confirmed.alias("confirmed"))
 
 
