@@ -41,7 +41,7 @@ from pyspark.sql.window import Window
 from . import _common as C
 
 #: One word in ``CUT`` ends a paragraph, by its hash; ``MOST`` words end it in any case.
-CUT, MOST = 16, 48
+CUT, MOST = 32, 96
 #: Numbers of words after which a text's first paragraphs end.
 FIRST = (1, 3, 8)
 #: Parts of a table, and the binary logarithm of a part's cells: in a fingerprint, in the tables of retries.
