@@ -35,10 +35,16 @@ def grid_template(spark, height: int, width: int) -> DataFrame:
 
 
 def orthorectify(glt: DataFrame, raw: DataFrame, values: Sequence[str], fill: float | None = NODATA) -> DataFrame:
-    """(out_row, out_col, values): raw pixels through a 1-based lookup table; 0 and out-of-bounds entries get ``fill``."""
-    there = glt.select("out_row", "out_col", F.when((F.col("raw_row") > 0) & (F.col("raw_col") > 0), F.col("raw_row") - 1).alias("row"), (F.col("raw_col") - 1).alias("col"))
-    met = there.join(raw.select("row", "col", *values), ["row", "col"], "left")
-    return met.select("out_row", "out_col", *[(F.coalesce(v, F.lit(fill)) if fill is not None else F.col(v)).alias(v) for v in values])
+    """(out_row, out_col, values): raw pixels through a 1-based lookup table; 0 and out-of-bounds entries get ``fill``.
+
+    Entries without a raw pixel, often half of the grid, stay out of the join.
+    """
+    used = F.coalesce((F.col("raw_row") > 0) & (F.col("raw_col") > 0), F.lit(False))
+    there = glt.where(used).select("out_row", "out_col", (F.col("raw_row") - 1).alias("row"), (F.col("raw_col") - 1).alias("col"))
+    met = there.join(raw.select("row", "col", *values), ["row", "col"], "left").select("out_row", "out_col", *values)
+    kinds = {f.name: f.dataType for f in raw.schema.fields}
+    rest = glt.where(~used).select("out_row", "out_col", *[F.lit(None).cast(kinds[v]).alias(v) for v in values])
+    return met.unionByName(rest).select("out_row", "out_col", *[(F.coalesce(v, F.lit(fill)) if fill is not None else F.col(v)).alias(v) for v in values])
 
 
 def dropped_entries(glt: DataFrame, raw: DataFrame) -> DataFrame:

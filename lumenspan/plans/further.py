@@ -232,13 +232,13 @@ def overlapping_pairs(spark, d):
     return out.select("tile_id", "tile_row", "tile_col", r6("coarse_invalid"), r6("fine_invalid"))
 
 
-@query("spectral_stack", f"WITH n AS ({IMAGERY['resample_nearest']}), u AS ({IMAGERY['upsample_bilinear']}) SELECT row, col, 10 AS bands, n.v AS b02, round(u.v,6) AS b12 FROM n JOIN u USING (row,col)")
+@query("spectral_stack", f"WITH n AS ({IMAGERY['resample_nearest']}), u AS ({IMAGERY['upsample_bilinear']}) SELECT row, col, 10 AS bands, n.v AS b02, u.v AS b12 FROM n JOIN u USING (row,col)")
 def spectral_stack(spark, d):
     coarse = fx.grid_coarse(spark, d)
     fine = raster.upsample_nearest(coarse, 2)
     sizes = {b: 10.0 if b in raster.TEN_METRES else 20.0 for b in raster.STACK}
     out = raster.spectral_stack({b: fine if sizes[b] == 10.0 else coarse for b in raster.STACK}, sizes)
-    return out.select("row", "col", F.size("spectrum").alias("bands"), r6(F.get("spectrum", F.lit(0))).alias("b02"), r6(F.get("spectrum", F.lit(9))).alias("b12"))
+    return out.select("row", "col", F.size("spectrum").alias("bands"), r6(F.get("spectrum", F.lit(0))).alias("b02"), r6(F.get("spectrum", F.lit(9)), 12).alias("b12"))
 
 
 # --- windows, cubes and warps -------------------------------------------------

@@ -461,7 +461,7 @@ def resample_nearest(spark, d):
     return raster.upsample_nearest(fx.grid_coarse(spark, d), 2).select("row", "col", r6("v"))
 
 
-@query("warp_cubic", None)
+@query("warp_cubic", f"WITH {COARSE}, dst AS (SELECT r::INT AS row, c::INT AS col, (r+0.5::DOUBLE)/2-0.5 AS y, (c+0.5::DOUBLE)/2-0.5 AS x FROM (SELECT unnest(range(2*(max(row)+1))) AS r FROM coarse) t, range(100) u(c)), n AS (SELECT row, col, floor(y)::INT+i-1 AS sr, floor(x)::INT+j-1 AS sc, abs(y-floor(y)-i+1) AS dy, abs(x-floor(x)-j+1) AS dx FROM dst, range(4) a(i), range(4) b(j)), m AS (SELECT row, col, sr, sc, (CASE WHEN dy<=1 THEN (1.5*dy-2.5)*dy*dy+1 WHEN dy<2 THEN ((-0.5*dy+2.5)*dy-4)*dy+2 ELSE 0 END)*(CASE WHEN dx<=1 THEN (1.5*dx-2.5)*dx*dx+1 WHEN dx<2 THEN ((-0.5*dx+2.5)*dx-4)*dx+2 ELSE 0 END) AS w FROM n) SELECT m.row, m.col, round(sum(w*v)/sum(w),6)+0.0 AS v FROM m JOIN coarse k ON k.row=sr AND k.col=sc WHERE v<>-9999 GROUP BY ALL HAVING abs(sum(w))>1e-12")
 def warp_cubic(spark, d):
     return raster.upsample_cubic(fx.grid_coarse(spark, d), 2).withColumn("v", r6(F.col("v")))
 
