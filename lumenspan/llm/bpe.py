@@ -34,6 +34,13 @@ from . import _common as C
 
 #: Pre-tokens a worker remembers; beyond it long ones are forgotten.
 CACHE = 400_000
+# The pipeline of a vocabulary file that this module follows (fixed values).
+NORMALIZERS = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]
+SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+PRE_TOKENIZERS = [
+    {"type": "Split", "pattern": {"Regex": SPLIT}, "behavior": "Removed", "invert": True},
+    {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+]
 #: Length of the pre-tokens that are kept when the table is full.
 SHORT = 9
 # Classes of lower-cased Latin-1 texts.
@@ -54,6 +61,7 @@ class WordBpe:
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         model = spec["model"]
+        self._refuse_others(spec)
         self.vocab: dict[str, int] = model["vocab"]
         self.suffix = model.get("end_of_word_suffix") or ""
         self.special = {x["content"]: x["id"] for x in spec["added_tokens"]}
@@ -69,9 +77,8 @@ class WordBpe:
         symbols = byte_symbols()
         self.inner = [self.vocab[s] for s in symbols]
         self.final = [self.vocab[s + self.suffix] for s in symbols]
-        split = next(p["pattern"]["Regex"] for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split")
-        self.pattern = regex.compile(split)
-        self.latin = re.compile(split.replace(r"[^\s\p{L}\p{N}]", f"[^{_BLANK}{_LETTERS}{_NUMBERS}]").replace(r"[\p{L}]", f"[{_LETTERS}]").replace(r"[\p{N}]", f"[{_NUMBERS}]"))
+        self.pattern = regex.compile(SPLIT)
+        self.latin = re.compile(SPLIT.replace(r"[^\s\p{L}\p{N}]", f"[^{_BLANK}{_LETTERS}{_NUMBERS}]").replace(r"[\p{L}]", f"[{_LETTERS}]").replace(r"[\p{N}]", f"[{_NUMBERS}]"))
         self.id_texts = list(map(str, range(max(self.names) + 1)))
         self.special_pattern = regex.compile("|".join(regex.escape(s) for s in sorted(self.special, key=len, reverse=True))) if self.special else None
         self.cache: dict[str, tuple[int, ...]] = {}
@@ -80,6 +87,15 @@ class WordBpe:
         self.joined: dict[str | int, str] = {}
         self.decoded: dict[str | int, str] = {}
 
+    @staticmethod
+    def _refuse_others(spec: dict) -> None:
+        """A file with another normaliser, pre-tokeniser or kind of model would be encoded wrongly."""
+        model, own = spec["model"], (spec.get("normalizer") or {}, spec.get("pre_tokenizer") or {})
+        plain = not (model.get("dropout") or model.get("unk_token") or model.get("continuing_subword_prefix") or model.get("byte_fallback") or model.get("ignore_merges"))
+        odd = any(x["single_word"] or x["lstrip"] or x["rstrip"] or x["normalized"] for x in spec["added_tokens"])
+        if model["type"] != "BPE" or not plain or odd or own[0].get("normalizers") != NORMALIZERS or own[1].get("pretokenizers") != PRE_TOKENIZERS:
+            raise ValueError("the vocabulary file asks for another pipeline than this one")
+
     def parts(self, text: str) -> list[str | int]:
         """Pre-tokens of a text, special strings as ids."""
         if self.special_pattern is None or "<|" not in text:

@@ -42,6 +42,9 @@ class PieceBpe:
         norm = spec.normalizer_spec
         if spec.trainer_spec.model_type != 2 or norm.precompiled_charsmap or norm.remove_extra_whitespaces or not norm.escape_whitespaces:
             raise ValueError("only BPE models without normalisation are supported")
+        # Types: 1 normal, 2 unknown, 3 control, 4 user-defined, 5 unused, 6 byte.
+        if not spec.trainer_spec.byte_fallback or any(p.type not in (1, 2, 3, 6) for p in spec.pieces):
+            raise ValueError("only byte fallback, and no user-defined or unused pieces, are supported")
         self.dummy = norm.add_dummy_prefix
         normal = [(p.piece, p.score) for p in spec.pieces if p.type == 1]
         if any(re.search(f"[^{_META}]{_META}", p) for p, _ in normal):

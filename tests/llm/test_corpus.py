@@ -180,6 +180,16 @@ def test_bpe_and_counts_against_the_libraries():
     assert token_count.PieceBpe(path).count_batch(texts) == [len(sp.encode(t)) for t in texts]
 
 
+def test_other_vocabularies_are_refused(tmp_path):
+    import json
+
+    spec = json.loads(Path(bpe.vocabulary("word_bpe_49k.json")).read_text())
+    for change in ({"normalizer": None}, {"pre_tokenizer": {"type": "Sequence", "pretokenizers": spec["pre_tokenizer"]["pretokenizers"][1:]}}, {"model": spec["model"] | {"dropout": 0.1}}):
+        (tmp_path / "x.json").write_text(json.dumps(spec | change))
+        with pytest.raises(ValueError, match="another pipeline"):
+            bpe.WordBpe(str(tmp_path / "x.json"))
+
+
 def test_bpe_cache_restarts(monkeypatch):
     monkeypatch.setattr(bpe, "CACHE", 3)
     monkeypatch.setattr(token_count, "CACHE", 3)
