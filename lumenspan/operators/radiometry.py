@@ -9,10 +9,58 @@ from pyspark.sql.window import Window
 from ..functions.columns import clip, finite
 
 
-def _limits(df: DataFrame, by: list[str], low: float, high: float, valid: Column | None) -> DataFrame:
+#: Ranges of values that ranks are counted in, and the values up to which Spark's own percentile buffers a group.
+BINS, BUFFERED = 4096, 20_000_000
+
+
+def _ranges(df: DataFrame, by: list[str], column: str) -> DataFrame:
+    """``df`` with _bin, the range of ``column`` between its least and greatest in the group; groups are few."""
+    ends = df.groupBy(*by).agg(F.min(column).alias("_lo"), F.max(column).alias("_hi"))
+    met = df.join(F.broadcast(ends), by) if by else df.crossJoin(F.broadcast(ends))
+    at = F.floor((F.col(column) - F.col("_lo")) / (F.col("_hi") - F.col("_lo")) * BINS)
+    return met.withColumn("_bin", F.when(F.col("_hi") > F.col("_lo"), F.least(at, F.lit(BINS - 1))).otherwise(0).cast("int")).drop("_lo", "_hi")
+
+
+def _before(rows: DataFrame, by: list[str], value: Column) -> DataFrame:
+    """(by, _bin, _off): the sum of ``value`` in the ranges before; at most ``BINS`` rows a group meet in its window."""
+    per = rows.groupBy(*by, "_bin").agg(F.sum(value).alias("_c"))
+    order = Window.partitionBy(*by).orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)
+    return per.select(*by, "_bin", F.coalesce(F.sum("_c").over(order), F.lit(0)).alias("_off"))
+
+
+def ranked(df: DataFrame, by: list[str], valid: Column | None = None) -> DataFrame:
+    """(by, v, n, before, _bin): the distinct finite values of a group, how often they occur and how many are smaller.
+
+    Values are counted first; a window holds one range of a group's values.
+    """
     ok = finite(F.col("v")) if valid is None else finite(F.col("v")) & valid
-    v = F.when(ok, F.col("v"))
-    return df.groupBy(*by).agg(F.percentile(v, F.lit(low / 100)).alias("lo"), F.percentile(v, F.lit(high / 100)).alias("hi"))
+    rows = _ranges(df.where(ok).groupBy(*by, "v").agg(F.count("*").alias("n")), by, "v")
+    order = Window.partitionBy(*by, "_bin").orderBy("v").rowsBetween(Window.unboundedPreceding, -1)
+    within = F.coalesce(F.sum("n").over(order), F.lit(0))
+    return rows.join(F.broadcast(_before(rows, by, F.col("n"))), [*by, "_bin"]).select(*by, "v", "n", (F.col("_off") + within).alias("before"), "_bin")
+
+
+def percentiles(df: DataFrame, by: list[str], shares: dict[str, float], valid: Column | None = None, *, buffered: int = BUFFERED) -> DataFrame:
+    """(by, one column for each share): exact percentiles of the finite v, linear between values.
+
+    Up to ``buffered`` rows Spark's percentile holds a group's distinct values;
+    beyond, ranks are counted over ranges, with the same result.
+    """
+    if df.count() <= buffered:
+        ok = finite(F.col("v")) if valid is None else finite(F.col("v")) & valid
+        return df.groupBy(*by).agg(*[F.percentile(F.when(ok, F.col("v")), F.lit(p)).alias(name) for name, p in shares.items()])
+    rows = ranked(df, by, valid)
+    total = rows.groupBy(*by).agg(F.sum("n").alias("_t"))
+    met = rows.join(F.broadcast(total), by) if by else rows.crossJoin(F.broadcast(total))
+    place = {name: F.lit(p) * (F.col("_t") - 1) for name, p in shares.items()}
+    at = lambda r: F.max(F.when((F.col("before") <= r) & (r < F.col("before") + F.col("n")), F.col("v")))
+    found = met.groupBy(*by, "_t").agg(*[at(f(x)).alias(f"_{k}_{name}") for name, x in place.items() for k, f in (("a", F.floor), ("b", F.ceil))])
+    share = {name: x - F.floor(x) for name, x in place.items()}
+    return found.select(*by, *[(F.col(f"_a_{name}") * (1 - w) + F.col(f"_b_{name}") * w).alias(name) for name, w in share.items()])
+
+
+def _limits(df: DataFrame, by: list[str], low: float, high: float, valid: Column | None) -> DataFrame:
+    return percentiles(df, by, {"lo": low / 100, "hi": high / 100}, valid)
 
 
 def stretch(df: DataFrame, *, by: list[str] | None = None, low: float = 2, high: float = 98, eps: float = 1e-12, valid: Column | None = None, gamma: float | None = None) -> DataFrame:
@@ -42,27 +90,37 @@ def histogram_match(source: DataFrame, reference: DataFrame, *, clip01: bool = F
     """``source`` (channel, v) with s, its values under the reference's distribution of the same channel.
 
     A source value's inclusive cumulative share is interpolated in the
-    reference's.  Only distinct values with counts are sorted.
+    reference's.  Only distinct values with counts are sorted, and windows hold
+    one range of a channel's values, or of its shares.
     """
+    by = ["channel"]
 
     def cdf(df: DataFrame, name: str) -> DataFrame:
-        w = Window.partitionBy("channel").orderBy("v")
-        n = df.where(finite(F.col("v"))).groupBy("channel", "v").agg(F.count("*").alias("n"))
-        total = F.sum("n").over(Window.partitionBy("channel"))
-        return n.select("channel", F.col("v").alias(name), (F.sum("n").over(w) / total).alias("q"))
+        rows = ranked(df, by)
+        total = F.broadcast(rows.groupBy(*by).agg(F.sum("n").alias("_t")))
+        return rows.join(total, by).select("channel", "_bin", F.col("v").alias(name), ((F.col("before") + F.col("n")) / F.col("_t")).alias("q"))
 
     ref = cdf(reference, "r")
-    order = Window.partitionBy("channel").orderBy("q")
-    ref = ref.select("channel", "r", "q", F.lead("q").over(order).alias("q2"), F.lead("r").over(order).alias("r2"), F.min("r").over(Window.partitionBy("channel")).alias("lowest"))
-    src = cdf(source, "v")
-    none = F.lit(None).cast("double")
-    both = src.select("channel", "q", F.lit(1).alias("kind"), "v", none.alias("r"), none.alias("q2"), none.alias("r2"), none.alias("lowest")).unionByName(
-        ref.select("channel", "q", F.lit(0).alias("kind"), none.alias("v"), "r", "q2", "r2", "lowest")
+    # The value after the last of a range is the first of the next range.
+    firsts = ref.groupBy("channel", "_bin").agg(F.min(F.struct("q", "r")).alias("first"))
+    over = Window.partitionBy("channel").orderBy("_bin")
+    firsts = firsts.select("channel", "_bin", F.lead("first").over(over).alias("after"), F.min("first").over(Window.partitionBy("channel")).getField("r").alias("lowest"))
+    order = Window.partitionBy("channel", "_bin").orderBy("q")
+    ref = ref.join(F.broadcast(firsts), ["channel", "_bin"]).withColumn("next", F.coalesce(F.lead(F.struct("q", "r")).over(order), "after"))
+    point = F.struct("q", "r", F.col("next.q").alias("q2"), F.col("next.r").alias("r2"))
+    share = F.least(F.floor(F.col("q") * BINS), F.lit(BINS - 1)).cast("int").alias("s_bin")
+    points = ref.select("channel", share, "q", point.alias("p"), "lowest")
+    lowest = F.broadcast(points.groupBy("channel").agg(F.first("lowest").alias("lowest")))
+    both = cdf(source, "v").select("channel", share, "q", F.lit(1).alias("kind"), "v", F.lit(None).cast(points.schema["p"].dataType).alias("p")).unionByName(
+        points.select("channel", "s_bin", "q", F.lit(0).alias("kind"), F.lit(None).cast("double").alias("v"), "p")
     )
-    so_far = Window.partitionBy("channel").orderBy("q", "kind").rowsBetween(Window.unboundedPreceding, 0)
-    all_rows = Window.partitionBy("channel")
-    point = F.last(F.when(F.col("kind") == 0, F.struct("q", "r", "q2", "r2")), ignorenulls=True).over(so_far)
-    met = both.select("channel", "q", "kind", "v", point.alias("p"), F.max("lowest").over(all_rows).alias("lowest")).where("kind = 1")
+    # The last point of the ranges before serves where a range has none yet.
+    last = both.groupBy("channel", "s_bin").agg(F.max("p").alias("p"))
+    earlier = Window.partitionBy("channel").orderBy("s_bin").rowsBetween(Window.unboundedPreceding, -1)
+    last = last.select("channel", "s_bin", F.last("p", ignorenulls=True).over(earlier).alias("carried"))
+    so_far = Window.partitionBy("channel", "s_bin").orderBy("q", "kind").rowsBetween(Window.unboundedPreceding, 0)
+    met = both.select("channel", "s_bin", "kind", "q", "v", F.last("p", ignorenulls=True).over(so_far).alias("p")).where("kind = 1")
+    met = met.join(F.broadcast(last), ["channel", "s_bin"]).withColumn("p", F.coalesce("p", "carried")).join(lowest, "channel")
     s = F.when(F.col("p").isNull(), F.col("lowest")).when(F.col("p.q2").isNull(), F.col("p.r")).otherwise(
         F.col("p.r") + (F.col("q") - F.col("p.q")) / (F.col("p.q2") - F.col("p.q")) * (F.col("p.r2") - F.col("p.r"))
     )

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions.columns import MASKED, NODATA, close_to, finite
+from .radiometry import percentiles
 
 
 def pixel_centers(grid: DataFrame, transform: Sequence[float]) -> DataFrame:
@@ -169,7 +170,7 @@ def flatten_pixels(x: DataFrame, y: DataFrame, nodata: float = NODATA) -> DataFr
 def robust_minmax(grid: DataFrame, step: int = 64, nodata: float = NODATA) -> DataFrame:
     """(lo, hi): percentiles 1 and 99 of every ``step``-th valid cell; (0, 1) without any, hi + 1 if equal."""
     ok = grid.where((F.col("row") % step == 0) & (F.col("col") % step == 0) & finite(F.col("v")) & (F.col("v") != nodata))
-    p = ok.agg(F.coalesce(F.percentile("v", F.lit(0.01)), F.lit(0.0)).alias("lo"), F.coalesce(F.percentile("v", F.lit(0.99)), F.lit(1.0)).alias("hi"))
+    p = percentiles(ok, [], {"lo": 0.01, "hi": 0.99}).select(F.coalesce("lo", F.lit(0.0)).alias("lo"), F.coalesce("hi", F.lit(1.0)).alias("hi"))
     return p.select("lo", F.when(F.col("hi") > F.col("lo"), F.col("hi")).otherwise(F.col("lo") + 1).alias("hi"))
 
 

@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from lumenspan.operators import catalog, geometry, raster, spectral
+from lumenspan.operators import catalog, geometry, radiometry, raster, spectral
 from lumenspan.sources import cube, documents, envi
 
 
@@ -109,6 +109,21 @@ def test_wavelength_tags_keep_empty_slots(spark):
     assert got == {("r", 1): 381.0, ("r", 2): None, ("r", 3): None, ("r", 4): 400.0}
 
 
+def test_percentiles_by_ranks(spark):
+    rng = np.random.default_rng(4)
+    values = {"a": rng.normal(size=500).round(1), "b": np.full(30, 2.5), "c": rng.random(7), "d": np.array([1e9, *rng.random(300)])}
+    df = spark.createDataFrame([(k, float(x)) for k, v in values.items() for x in v] + [("a", None), ("a", float("nan")), ("e", None)], "channel string, v double").repartition(3)
+    shares = {"p0": 0.0, "p2": 0.02, "p37": 0.37, "p98": 0.98, "p100": 1.0}
+    for buffered in (0, 10**6):
+        got = {r.channel: [r[k] for k in shares] for r in radiometry.percentiles(df, ["channel"], shares, buffered=buffered).collect()}
+        for k, v in values.items():
+            assert np.allclose(got[k], np.percentile(v, [100 * p for p in shares.values()]), rtol=1e-12), (k, buffered)
+        whole = radiometry.percentiles(df, [], {"m": 0.5}, buffered=buffered).first().m
+        assert abs(whole - np.median(np.concatenate(list(values.values())))) < 1e-12
+    ranks = {(r.channel, r.v): (r.n, r.before) for r in radiometry.ranked(df, ["channel"]).collect()}
+    assert all(ranks[k, x] == ((v == x).sum(), (v < x).sum()) for k, v in values.items() for x in v.tolist())
+
+
 def test_report(tmp_path):
     p = tmp_path / "r.md"
     documents.report(str(p), "T", [("A", ["x", None, "y"])])
