@@ -383,6 +383,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, *, window: int = WINDOW
     zero = F.struct(F.lit(0).cast("bigint").alias("n"), F.lit(0).cast("bigint").alias("end"))
     covered = F.aggregate("_runs", zero, lambda s, x: F.struct((s.n + F.greatest(F.lit(0).cast("bigint"), x.stop - F.greatest(x.start, s.end))).alias("n"), F.greatest(s.end, x.stop).alias("end")))
     merged = C.stored(merged.select(F.col("key").alias("_key"), "_items", covered.n.alias("_n")))
+    C.dropped(found)
     hits = F.broadcast(merged) if merged.count() <= BROADCAST_HITS else merged
     met = base.withColumn("_own", _key()).join(hits, F.col("_own") == F.col("_key"), "left")
     return met.select(*keep, "n_words", F.coalesce("_n", F.lit(0)).cast("bigint").alias("n_hit"), F.coalesce("_items", F.array().cast("array<string>")).alias("hit_items"), F.col("_n").isNotNull().alias("contaminated"))
