@@ -545,6 +545,21 @@ def test_open_buckets_are_exact(spark, monkeypatch, outside, rounds, block):
     assert [got.get(i, i) for i in range(60)] == _closure(60, pairs)
 
 
+def test_members_are_placed_twice_at_most(spark, monkeypatch):
+    """Six groups in one bucket, each found by a pivot of its own, and a bucket that the first pivot settles."""
+    monkeypatch.setattr(near_dedup, "OUTSIDE", 0)
+    rng = np.random.default_rng(3)
+    sets = [np.sort(rng.choice(base, 58, replace=False)) for base in (rng.integers(0, 2**62, 60) for _ in range(7)) for _ in range(8)]
+    listed = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(sets)], "rep long, elements array<long>")
+    rows = [(7, i, 58, 48, 0, 48 - i) for i in range(48)] + [(8, i, 58, 8, 0, 8) for i in range(48, 56)]
+    members = spark.createDataFrame(rows, "key long, rep long, size int, n long, salt int, weight long")
+    placed, open_buckets = [], near_dedup._open
+    monkeypatch.setattr(near_dedup, "_open", lambda m, u: placed.append(m.count()) or open_buckets(m, u))
+    got = {r.node: r.root for r in near_dedup.verified(members, listed, 88).collect()}
+    assert got == {i: i // 8 * 8 for i in range(56)}
+    assert placed == [56, 48]
+
+
 def _brute_disclosure(texts):
     """(entity, term) pairs at the threshold, counted document by document."""
     found = []
