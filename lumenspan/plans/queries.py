@@ -582,7 +582,7 @@ def scan_geotiff(spark, d):
     q = fx.spectra(spark, d).select("row", "col", F.transform("spectrum", lambda v: fc.quantize_u16(v)).alias("spectrum"))
     at = lambda c: F.floor(F.col(c) / size).cast("int")
     tiles = q.select(F.concat_ws("_", at("row"), at("col")).alias("path"), (F.col("row") % size).alias("row"), (F.col("col") % size).alias("col"), "spectrum")
-    back = geotiff.decoded(geotiff.encoded(tiles, key="path", height=size, width=size))
+    back = geotiff.decoded(geotiff.encoded(tiles, key="path", height=size, width=size, mask=True), mask=True)
     place = lambda k, c: (F.element_at(F.split("path", "_"), k).cast("int") * size + F.col(c)).alias(c)
     return back.select(place(1, "row"), place(2, "col"), F.posexplode("spectrum").alias("b", "q")).select("row", "col", "b", F.col("q").cast("int").alias("q"))
 

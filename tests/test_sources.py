@@ -8,6 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from lumenspan.plans import queries
 from lumenspan.sources import documents, geotiff
 
 
@@ -63,6 +64,21 @@ def test_geotiff_refuses(spark):
         geotiff.encoded(pixels, key="k", height=4, width=4).collect()
 
 
+def test_geotiff_mask(spark):
+    """Pixels that only fill a tile are told from pixels without data."""
+    rows = [("a", 0, 1, [5.0, 65535.0]), ("a", 1, 1, [65535.0, 65535.0]), ("b", 1, 0, [0.0, 7.0])]
+    pixels = spark.createDataFrame(rows, "path string, row int, col int, spectrum array<double>")
+    got = geotiff.decoded(geotiff.encoded(pixels, key="path", height=2, width=3, mask=True), mask=True)
+    assert sorted(map(tuple, got.collect())) == rows
+
+
+def test_scan_geotiff_of_a_part_of_a_tile(spark, tmp_path):
+    """A table whose last line ends early."""
+    spark.read.parquet("/root/testdata/sf0.001/embeddings.parquet").where("vec_id < 56").write.parquet(str(tmp_path / "embeddings.parquet"))
+    got = queries.scan_geotiff(spark, str(tmp_path))
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, queries.quantize_u16(spark, str(tmp_path)).collect()))
+
+
 def test_geotiff_tables(spark, tmp_path):
     raster = np.arange(24, dtype="u2").reshape(3, 4, 2)
     (tmp_path / "a.tif").write_bytes(geotiff.encode(raster, transform=(0.0, 1.0, 3.0, -1.0), epsg=4326))
