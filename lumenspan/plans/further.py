@@ -301,16 +301,24 @@ def open_reflectance(spark, d):
 @query("scan_envi", f"WITH {SPECTRA} SELECT row, col, b::INT AS b, round((s[b+1])::FLOAT::DOUBLE,4) AS v FROM spectra, range(64) t(b)")
 def scan_envi(spark, d):
     """A scene written as an ENVI file and read through the data source."""
+    import os
     import tempfile
+    from urllib.parse import urlparse
 
     from ..sources import envi
 
     spark.dataSource.register(envi.EnviSource)
     s = fx.spectra(spark, d)
     shape = s.agg(F.max("row") + 1, F.max("col") + 1).first()
-    folder = tempfile.mkdtemp(prefix="envi-")
-    envi.write_envi(s, f"{folder}/scene.img", height=shape[0], width=shape[1], interleave="bsq")
-    out = spark.read.format("envi").load(f"{folder}/scene.img")
+    # In the folder that all executors share, if there is one: they read the file.
+    shared = urlparse(spark.conf.get("spark.checkpoint.dir", "") or "")
+    if shared.scheme not in ("", "file"):
+        raise ValueError("an ENVI file needs a folder that all executors have mounted")
+    if shared.path:
+        os.makedirs(shared.path, exist_ok=True)
+    folder = tempfile.mkdtemp(prefix="envi-", dir=shared.path or None)
+    envi.write_envi(s, f"{folder}/scene.img", height=shape[0], width=shape[1], interleave="bsq", mask=True)
+    out = spark.read.format("envi").option("mask", True).load(f"{folder}/scene.img")
     return out.select("row", "col", F.posexplode("spectrum").alias("b", "v")).withColumn("v", r6(F.col("v"), 4))
 
 

@@ -1,7 +1,12 @@
 """ENVI rasters: a Python data source that reads header and binary pairs, and a writer.
 
 ``spark.read.format("envi").option("path", p).load()`` gives (row, col,
-spectrum); each partition is a range of lines, and only its bytes are read.
+spectrum); each partition is a range of lines, and only its bytes are read.  The
+path must be one that the driver and all executors see.
+
+A raster has every pixel of its extent.  Written with ``mask``, a further, last
+band tells the pixels of the table (1) from those that only fill the raster (0);
+read with the option ``mask``, the latter and that band are left out.
 """
 
 from __future__ import annotations
@@ -39,6 +44,7 @@ class EnviReader(DataSourceReader):
     def __init__(self, options):
         self.path = options["path"]
         self.lines_each = int(options.get("lines", 256))
+        self.mask = str(options.get("mask", "false")).lower() == "true"
         h = parse_header(header_of(self.path).read_text())
         self.n_rows, self.n_cols, self.n_bands = int(h["lines"]), int(h["samples"]), int(h["bands"])
         self.kind = np.dtype(TYPES[int(h["data type"])]).newbyteorder(">" if int(h.get("byte order", 0)) else "<")
@@ -56,7 +62,10 @@ class EnviReader(DataSourceReader):
         part = {"bip": lambda: data[own], "bil": lambda: data[own].transpose(0, 2, 1), "bsq": lambda: data[:, own].transpose(1, 2, 0)}[self.order]()
         for i, line in enumerate(np.asarray(part, float), partition.start):
             for j, spectrum in enumerate(line):
-                yield i, j, spectrum.tolist()
+                if not self.mask:
+                    yield i, j, spectrum.tolist()
+                elif spectrum[-1]:
+                    yield i, j, spectrum[:-1].tolist()
 
 
 class EnviSource(DataSource):
@@ -71,7 +80,7 @@ class EnviSource(DataSource):
         return EnviReader(self.options)
 
 
-def write_envi(pixels, path: str, *, height: int, width: int, wavelengths=None, interleave: str = "bil") -> None:
+def write_envi(pixels, path: str, *, height: int, width: int, wavelengths=None, interleave: str = "bil", mask: bool = False) -> None:
     """One raster to ``path`` and its header, line by line through the driver: an export of one scene's size.
 
     ``interleave`` is ``bip``, ``bil`` or ``bsq``; bands of a ``bsq`` file are far apart, so its lines are placed by seeking.
@@ -87,6 +96,12 @@ def write_envi(pixels, path: str, *, height: int, width: int, wavelengths=None,
         else:
             f.write(np.ascontiguousarray(line.T if interleave == "bil" else line).tobytes())
 
+    def blank():
+        line = np.full((width, bands + mask), -9999.0, "<f4")
+        if mask:
+            line[:, bands] = 0
+        return line
+
     rows = pixels.select("row", "col", "spectrum").orderBy("row", "col").toLocalIterator()
     first, bands = None, 0
     with open(path, "wb") as f:
@@ -95,13 +110,14 @@ def write_envi(pixels, path: str, *, height: int, width: int, wavelengths=None,
         for r in rows:
             if first is None:
                 first, bands = r, len(r.spectrum)
-                line = np.full((width, bands), -9999.0, "<f4")
+                line = blank()
             while r.row > at:
                 put(f, line, at)
-                line, at = np.full((width, bands), -9999.0, "<f4"), at + 1
-            line[r.col] = r.spectrum
+                line, at = blank(), at + 1
+            line[r.col, :bands] = r.spectrum
+            line[r.col, bands:] = 1
         while line is not None and at < height:
             put(f, line, at)
-            line, at = np.full((width, bands), -9999.0, "<f4"), at + 1
+            line, at = blank(), at + 1
     more = "" if wavelengths is None else "wavelength = {" + ", ".join(f"{w:g}" for w in wavelengths) + "}\n"
-    Path(path).with_suffix(".hdr").write_text(f"ENVI\nsamples = {width}\nlines = {height}\nbands = {bands}\nheader offset = 0\ndata type = 4\ninterleave = {interleave}\nbyte order = 0\n{more}")
+    Path(path).with_suffix(".hdr").write_text(f"ENVI\nsamples = {width}\nlines = {height}\nbands = {bands + mask}\nheader offset = 0\ndata type = 4\ninterleave = {interleave}\nbyte order = 0\n{more}")

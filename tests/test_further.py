@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lumenspan.operators import catalog, geometry, radiometry, raster, spectral
+from lumenspan.plans import further
 from lumenspan.sources import cube, documents, envi
 
 
@@ -21,6 +22,24 @@ def test_envi_round_trip(spark, tmp_path, interleave):
         envi.write_envi(df, str(tmp_path / "y.img"), height=6, width=4, interleave="bqs")
 
 
+@pytest.mark.parametrize("interleave", ["bip", "bil", "bsq"])
+def test_envi_mask(spark, tmp_path, interleave):
+    """Pixels that only fill the raster are told from pixels without data."""
+    rows = [(0, 1, [1.0, 2.0]), (2, 0, [-9999.0, -9999.0]), (2, 1, [0.0, 0.0])]
+    path = str(tmp_path / "x.img")
+    envi.write_envi(spark.createDataFrame(rows, "row int, col int, spectrum array<double>"), path, height=4, width=3, interleave=interleave, mask=True)
+    spark.dataSource.register(envi.EnviSource)
+    assert sorted(map(tuple, spark.read.format("envi").option("mask", True).load(path).collect())) == rows
+    assert spark.read.format("envi").load(path).count() == 12
+
+
+def test_scan_envi_of_a_part_of_a_line(spark, tmp_path):
+    """A table whose last line ends early."""
+    spark.read.parquet("/root/testdata/sf0.001/embeddings.parquet").where("vec_id < 56").write.parquet(str(tmp_path / "embeddings.parquet"))
+    got = further.scan_envi(spark, str(tmp_path)).groupBy("row", "col").count().collect()
+    assert sorted((r.row, r.col, r["count"]) for r in got) == [(i // 25, i % 25, 64) for i in range(56)]
+
+
 def test_warp_against_a_plain_one(spark):
     rng = np.random.default_rng(3)
     src = rng.random((40, 50))
