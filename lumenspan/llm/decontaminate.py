@@ -39,9 +39,11 @@ WINDOW = 10
 #: Words of benchmark items that one pass broadcasts.
 BLOCK_TERMS = 2_000_000
 #: Candidate starts that a task expands at once.
-CANDIDATES = 1 << 20
+CANDIDATES = 1 << 18
 #: Documents and bytes of a shard (a longer text is a shard of its own).
 SHARD_ROWS, SHARD_BYTES = 128, 1 << 20
+#: Row groups and pages of the index are closed by size at any row: the usual writer looks after 100 rows, which are far larger here.
+INDEX_FILES = {"parquet.block.size": str(4 << 20), "parquet.block.size.row.check.min": "1", "parquet.page.size.row.check.min": "1"}
 #: Documents with hits that a join may broadcast.
 BROADCAST_HITS = 500_000
 
@@ -254,11 +256,11 @@ def build_index(docs: DataFrame) -> DataFrame:
                 listed = [pa.array([x[own].to_pylist()], pa.list_(pa.int64())) for x in (ids, keys)]
                 yield pa.RecordBatch.from_arrays([*listed, *[pa.array([x.tobytes()], pa.binary()) for x in parts]], ["ids", "keys", "starts", "terms", "edges", "positions"])
 
-    return C.stored(docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), _key().alias("key"), "text").mapInArrow(run, INDEX))
+    return C.stored(docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), _key().alias("key"), "text").mapInArrow(run, INDEX), **INDEX_FILES)
 
 
 def _read(batch, i: int) -> Shard:
-    get = lambda name, kind: np.frombuffer(batch.column(name)[i].as_py(), kind)
+    get = lambda name, kind: np.frombuffer(batch.column(name)[i].as_buffer(), kind)
     return Shard(get("terms", np.uint64), get("edges", np.int32).astype(np.int64), get("positions", np.int32).astype(np.int64), get("starts", np.int64))
 
 
@@ -271,8 +273,8 @@ def frequencies(index: DataFrame, terms: np.ndarray) -> np.ndarray:
         total = np.zeros(len(wanted), np.int64)
         for batch in batches:
             for i in range(batch.num_rows):
-                own = np.frombuffer(batch.column("terms")[i].as_py(), np.uint64)
-                n = np.diff(np.frombuffer(batch.column("edges")[i].as_py(), np.int32))
+                own = np.frombuffer(batch.column("terms")[i].as_buffer(), np.uint64)
+                n = np.diff(np.frombuffer(batch.column("edges")[i].as_buffer(), np.int32))
                 k = np.minimum(np.searchsorted(wanted, own), len(wanted) - 1)
                 hit = wanted[k] == own
                 total[k[hit]] += n[hit]

@@ -9,6 +9,8 @@ from pathlib import Path
 
 import duckdb
 import numpy as np
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -377,6 +379,22 @@ def test_shards_hold_the_postings():
     assert of("one") == [0, 2, 7] and of("two") == [1, 5] and of("three") == [6] and of("four") == []
 
 
+def test_index_is_read_in_bounded_pieces(spark):
+    texts = [" ".join(f"w{i}x{j}" for j in range(25_000)) for i in range(60)]
+    index = decontaminate.build_index(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1))
+    files = [pq.ParquetFile(f.removeprefix("file:")) for f in index.inputFiles()]
+    groups = [f.metadata.row_group(i).total_byte_size for f in files for i in range(f.metadata.num_row_groups)]
+    bound = 8 << 20  # 4 MB and the shard that exceeds them
+    assert sum(groups) > 2 * bound and max(groups) < bound
+
+    def held(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"n": pa.array([batch.nbytes], pa.int64())})
+
+    assert max(r.n for r in index.mapInArrow(held, "n long").collect()) < bound
+    assert int(spark.conf.get("spark.sql.parquet.columnarReaderBatchSize")) <= 512
+
+
 def test_url_rules(spark):
     urls = [None, "nothing", "http://A.Example.ORG/en/17?x", "https://example.org/es/", "https://notexample.org/es/", "http://a.b.com/de/1", "http://com", "x://h.com/fr/#q", "http://u@example.org:80/es/", "a://b://example.org/es/"]
     pages = spark.createDataFrame([(i, u, "mine") for i, u in enumerate(urls)] + [(None, None, None)], "page_id long, url string, rule string")
